@@ -25,7 +25,8 @@ PARSED = T.StructType([
 
 DOTTED = re.compile(r"(?<![^\W_])[^\W\d_](?:\.[^\W\d_])+(?![^\W_])")
 TOKEN = re.compile(r"[^\W_�]*�[^\W_]*(?:�[^\W_]*)*|[^\W_]+")
-LETTERS = re.compile(r"[^\W\d_]")
+#: Umlauts written with two letters; taken together so that both spellings agree.
+DIGRAPH = re.compile(r"(?<=[^\W\d_])([aou])e")
 
 
 @lru_cache(1)
@@ -82,6 +83,11 @@ def parse_name(name: str | None, places: frozenset[str] = frozenset()) -> tuple[
         if word in lands:
             votes.append(lands[word])
 
+    def abbreviated(token: str) -> None:
+        """What it stands for stays open: no vote for a land, and an activity only by its beginning."""
+        if any(word.startswith(token) for word in activities):
+            acts.add(token)
+
     for at, (token, dot) in enumerate(tokens):
         if len(token) == 1:
             after = tokens[at + 1][0] if at + 1 < len(tokens) else ""
@@ -97,7 +103,7 @@ def parse_name(name: str | None, places: frozenset[str] = frozenset()) -> tuple[
         elif token in lands:
             general(token)
         elif dot and token in starts:
-            general(starts[token])
+            abbreviated(token)
         elif token in given_names and not given:
             given = token
         elif token in places or token in ("san", "sao", "saint", "vila"):
@@ -105,12 +111,13 @@ def parse_name(name: str | None, places: frozenset[str] = frozenset()) -> tuple[
         elif token in SHORT_FORMS or near_word(token, lands, near) or len(token) >= 2 and token in starts:
             doubtful.append((len(core), token))
         else:
-            core.append(token)
+            core.append(DIGRAPH.sub(r"\1", token).replace("ph", "f"))
     for shift, (place, token) in enumerate(doubtful):  # too few certain words: the doubtful ones belong to the name
         if len(core) - shift < 2 and not (len(core) == 1 and (initials or given)):
             core.insert(place + shift, token)
         else:
-            general(near_word(token, lands, near) or starts.get(token, token))
+            word = near_word(token, lands, near)
+            general(word) if word else abbreviated(token)
     if given and len(core) < 2 and not (core and initials):  # one surname, or a surname that looks like a given name
         core.append(given if votes else given_names[given])
     if len(core) == 1 and not initials:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entwine.llm import copies, encoding, names
+from entwine.llm import copies, encoding, names, variants
 from entwine.sources.tables import table
 
 
@@ -33,4 +33,23 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return found[0].unionByName(found[1])
 
 
-QUERIES = {"p3_found": p3_found, "p5_found": p5_found}
+def supplier_names(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "suppliers", "row_id", "_supplier_raw_name", "supplier_country")
+    leaked = F.lower(F.regexp_replace("_supplier_raw_name", r"(?U)^\s+|\s+$", "")) == "column2"
+    return rows.where(~leaked).select(F.lit("suppliers").alias("table_name"), "row_id", F.col("_supplier_raw_name").alias("name"), names.land_of(F.col("supplier_country")).alias("land"))
+
+
+def cities(spark: SparkSession, folder: str) -> frozenset[str]:
+    return names.gazetteer(table(spark, folder, "ei_registers_normalized", "city"))
+
+
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs of rows whose names are spellings of one name."""
+    rows = both_names(spark, folder).unionByName(supplier_names(spark, folder)).drop("table_name")
+    clean = rows.where(~encoding.suspect(F.col("name"), F.col("land"))).select("row_id", "name", "land")
+    linked = variants.entities(clean, cities(spark, folder))
+    hashed = linked.select("row_id", "entity", copies.record_hash(F.col("name")).alias("h")).select("row_id", "entity", "h.h1", "h.h2")
+    return variants.variant_pairs(hashed)
+
+
+QUERIES = {"p4_found": p4_found, "p3_found": p3_found, "p5_found": p5_found}

@@ -33,7 +33,7 @@ WORDS = {
         services repairs kitchens gardens group shop cleaning training catering assn comm gdns servs co soc trading
         as ta ie irl sole trader""",
     "PT": """associacao fundacao cooperativa responsabilidade limitada lda sa crl cooperativo servicos limpezas jardins
-        refeicoes lavandaria formacao unipessoal sociedade eni empresario em nome individual grupo loja cooperativas pt prt""",
+        refeicoes lavandaria formacao unipessoal sociedade eni empresario em nome individual grupo loja cooperativas coop pt prt""",
 }
 
 #: Abbreviations that are no prefix of the word they stand for.
