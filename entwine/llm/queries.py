@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entwine.llm import copies, encoding, names, variants
+from entwine.llm import copies, encoding, names, survivors, variants
 from entwine.sources.tables import table
 
 
@@ -16,6 +16,22 @@ def both_names(spark: SparkSession, folder: str) -> DataFrame:
     return registers.unionByName(trusted)
 
 
+def mended(rows: DataFrame) -> DataFrame:
+    """`rows` (table_name, row_id, name, land) with garbled names restored as far as they can be."""
+    fixed = encoding.restore(rows, rows).select("row_id", F.col("restored").alias("mended")).distinct()
+    return rows.join(fixed, "row_id", "left").select("table_name", "row_id", F.coalesce("mended", "name").alias("name"), "land")
+
+
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows whose summary, website and sector survive for each organisation in trusted_entities."""
+    trusted = table(spark, folder, "trusted_entities")
+    named = mended(both_names(spark, folder)).where("table_name = 'trusted_entities'").select("row_id", "name", "land")
+    grouped = variants.entities(named, cities(spark, folder)).select("row_id", "entity")
+    fields = {"business_summary": survivors.is_whole(F.col("business_summary")), "website_hint": survivors.has_host(F.col("website_hint")), "sector": survivors.tells(F.col("sector"))}
+    found = survivors.survivors(trusted.join(grouped, "row_id"), "entity", "row_id", "source", "updated_at", fields, table(spark, folder, "roster_sources"))
+    return found.select("group_row_id", "field_name", "row_id")
+
+
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     """Garbled names and what they were; the empty string where characters are lost for good."""
     rows = both_names(spark, folder)
@@ -52,4 +68,4 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return variants.variant_pairs(hashed)
 
 
-QUERIES = {"p4_found": p4_found, "p3_found": p3_found, "p5_found": p5_found}
+QUERIES = {"p1_found": p1_found, "p4_found": p4_found, "p3_found": p3_found, "p5_found": p5_found}
