@@ -91,8 +91,13 @@ def suspect_pattern() -> str:
     for ends, starts in sorted(heads.items()):
         one = "".join(sorted(x for x in starts if len(x) == 1))
         parts += [f"[{quote(one)}][{quote(ends)}]"] * bool(one) + [f"{quote(x)}[{quote(ends)}]" for x in sorted(starts) if len(x) > 1]
-    leads = "".join(sorted({form[0] for form in forms} | set(LOST + ODD)))
-    return f"(?=[{quote(leads)}])(?:" + "|".join([*parts, f"[{quote(LOST + ODD)}]"]) + ")|" + BLANKED
+    return "|".join([*parts, f"[{quote(LOST + ODD)}]", BLANKED])
+
+
+@lru_cache(1)
+def lead_characters() -> str:
+    """With one of these every garbled form begins."""
+    return "".join(sorted({bad[0] for codec in MULTI for bad, c in spans()[codec].items() if c in LETTERS + SIGNS} | set(LOST + ODD)))
 
 
 def suspect(name: Column, land: Column | None = None) -> Column:
@@ -100,7 +105,8 @@ def suspect(name: Column, land: Column | None = None) -> Column:
 
     With `land`, letters foreign to Polish make a Polish name suspect, too.
     """
-    out = F.coalesce(name.rlike(suspect_pattern()), F.lit(False))
+    may = name.rlike("[^\\x00-\\x7f]") & (F.translate(name, lead_characters(), "") != name)  # cheap, and false for most names
+    out = F.coalesce(may & name.rlike(suspect_pattern()), F.lit(False))
     if land is not None:
         out = out | F.coalesce((F.upper(land) == "PL") & name.rlike(f"[{FOREIGN}]"), F.lit(False))
     return out

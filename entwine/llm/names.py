@@ -8,21 +8,12 @@ from functools import lru_cache
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from entwine.llm.words import ACTIVITIES, COUNTRIES, GIVEN, SHORT_FORMS, WORDS, plain
 
 #: Distinct place names up to which the gazetteer is sent to the executors; a country has at most some 40,000 municipalities.
 GAZETTEER_BOUND = 200_000
 
-PARSED = T.StructType([
-    T.StructField("core", T.ArrayType(T.StringType())),
-    T.StructField("initial", T.StringType()),
-    T.StructField("given", T.StringType()),
-    T.StructField("acts", T.ArrayType(T.StringType())),
-    T.StructField("lands", T.ArrayType(T.StringType())),
-])
-
 DOTTED = re.compile(r"(?<![^\W_])[^\W\d_](?:\.[^\W\d_])+(?![^\W_])")
 TOKEN = re.compile(r"[^\W_�]*�[^\W_]*(?:�[^\W_]*)*|[^\W_]+")
 #: Umlauts written with two letters; taken together so that both spellings agree.
@@ -49,8 +40,10 @@ def lexicon() -> tuple[dict[str, frozenset[str]], dict[str, str], frozenset[str]
     return {w: frozenset(x) for w, x in lands.items()}, given, frozenset(ACTIVITIES.split()), near, starts
 
 
-def near_word(token: str, lands: dict, near: dict) -> str | None:
+@lru_cache(1 << 16)
+def near_word(token: str) -> str | None:
     """The general word that `token` is with one letter dropped, added, changed or two swapped."""
+    lands, _, _, near, _ = lexicon()
     if len(token) < 5:
         return None
     if token in near:
@@ -72,7 +65,7 @@ def parse_name(name: str | None, places: frozenset[str] = frozenset()) -> tuple[
     """
     if not name:
         return [], None, None, [], []
-    lands, given_names, activities, near, starts = lexicon()
+    lands, given_names, activities, _, starts = lexicon()
     text = DOTTED.sub(lambda m: m[0].replace(".", ""), plain(name))
     core, doubtful, acts, initials, weak, given, votes = [], [], set(), [], [], None, []
     tokens = [(m[0], text[m.end() : m.end() + 1] == ".") for m in TOKEN.finditer(text)]
@@ -108,7 +101,7 @@ def parse_name(name: str | None, places: frozenset[str] = frozenset()) -> tuple[
             given = token
         elif token in places or token in ("san", "sao", "saint", "vila"):
             continue
-        elif token in SHORT_FORMS or near_word(token, lands, near) or len(token) >= 2 and token in starts:
+        elif token in SHORT_FORMS or near_word(token) or len(token) >= 2 and token in starts:
             doubtful.append((len(core), token))
         else:
             core.append(DIGRAPH.sub(r"\1", token).replace("ph", "f"))
@@ -116,7 +109,7 @@ def parse_name(name: str | None, places: frozenset[str] = frozenset()) -> tuple[
         if len(core) - shift < 2 and not (len(core) == 1 and (initials or given)):
             core.insert(place + shift, token)
         else:
-            word = near_word(token, lands, near)
+            word = near_word(token)
             general(word) if word else abbreviated(token)
     if given and len(core) < 2 and not (core and initials):  # one surname, or a surname that looks like a given name
         core.append(given if votes else given_names[given])
@@ -135,15 +128,22 @@ def gazetteer(places: DataFrame) -> frozenset[str]:
     return frozenset(w for name in names for w in re.findall(r"[^\W\d_]+", name) if len(w) >= 2)
 
 
-def parsed(name: Column, places: frozenset[str] = frozenset()) -> Column:
-    """parse_name() as a column of PARSED."""
+def with_parsed(df: DataFrame, name: str, places: frozenset[str] = frozenset()) -> DataFrame:
+    """`df` with parse_name() of column `name` as columns core, initial, given, acts and lands.
+
+    The function hands back one line of text, which costs less to transfer than nested columns, and is
+    marked as not deterministic so that no filter on its result runs it twice.
+    """
 
-    @F.pandas_udf(PARSED)
-    def parse(names: pd.Series) -> pd.DataFrame:
-        rows = [parse_name(x, places) for x in names]
-        return pd.DataFrame({k: [r[i] for r in rows] for i, k in enumerate(("core", "initial", "given", "acts", "lands"))})
+    @F.pandas_udf("string")
+    def parse(names: pd.Series) -> pd.Series:
+        return pd.Series(["\t".join((" ".join(c), i or "", g or "", " ".join(a), " ".join(z))) for c, i, g, a, z in (parse_name(x, places) for x in names)])
 
-    return parse(name)
+    parts = F.split("_line", "\t")
+    words = lambda i: F.filter(F.split(parts[i], " "), lambda x: x != "")
+    text = lambda i: F.when(parts[i] != "", parts[i])
+    lined = df.withColumn("_line", parse.asNondeterministic()(F.col(name)))
+    return lined.select(*df.columns, words(0).alias("core"), text(1).alias("initial"), text(2).alias("given"), words(3).alias("acts"), words(4).alias("lands"))
 
 
 def land_of(hint: Column) -> Column:
