@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entwine.llm import copies, encoding, names, survivors, variants
+from entwine.llm import copies, encoding, linkage, names, survivors, variants
 from entwine.sources.tables import table
 
 
@@ -68,4 +68,22 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return variants.variant_pairs(hashed)
 
 
-QUERIES = {"p1_found": p1_found, "p4_found": p4_found, "p3_found": p3_found, "p5_found": p5_found}
+def p7_matches(spark: SparkSession, folder: str) -> DataFrame:
+    """Register and trusted rows of one organisation, with a confidence."""
+    named = mended(both_names(spark, folder))
+    registers = table(spark, folder, "ei_registers_normalized", "row_id", "tax_id", "tax_id_root", "se_recognition_evidence").select(
+        "row_id", linkage.host(F.col("se_recognition_evidence")).alias("web"), F.coalesce(linkage.tax_number(F.col("tax_id_root")), linkage.tax_number(F.col("tax_id"))).alias("tax")
+    )
+    in_text = F.regexp_extract("business_summary", r"(?U)\(([A-Z]{0,2}[\w .-]*\d[\w .-]*)\)\W*$", 1)
+    trusted = table(spark, folder, "trusted_entities", "row_id", "website_hint", "business_summary").select(
+        "row_id", linkage.host(F.trim("website_hint")).alias("web"), linkage.tax_number(in_text).alias("tax")
+    )
+    sides = [named.where(F.col("table_name") == t).drop("table_name").join(x, "row_id") for t, x in (("ei_registers_normalized", registers), ("trusted_entities", trusted))]
+    return linkage.matches(*sides, cities(spark, folder))
+
+
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p7_matches(spark, folder).where(F.col("confidence") >= linkage.MATCH).select("row_id_a", "row_id_b")
+
+
+QUERIES = {"p7_found": p7_found, "p7_matches": p7_matches, "p1_found": p1_found, "p4_found": p4_found, "p3_found": p3_found, "p5_found": p5_found}
