@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entwine.llm import copies, encoding, linkage, names, survivors, variants
+from entwine.llm import copies, encoding, leaks, linkage, names, survivors, variants
 from entwine.sources.tables import table
 
 
@@ -86,4 +86,9 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     return p7_matches(spark, folder).where(F.col("confidence") >= linkage.MATCH).select("row_id_a", "row_id_b")
 
 
-QUERIES = {"p7_found": p7_found, "p7_matches": p7_matches, "p1_found": p1_found, "p4_found": p4_found, "p3_found": p3_found, "p5_found": p5_found}
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents and the evaluation items that leaked into them."""
+    return leaks.leaks(table(spark, folder, "documents", "doc_id", "text"), table(spark, folder, "eval_items", "item_id", "text")).select("doc_id", "item_id")
+
+
+QUERIES = {"p8_found": p8_found, "p7_found": p7_found, "p7_matches": p7_matches, "p1_found": p1_found, "p4_found": p4_found, "p3_found": p3_found, "p5_found": p5_found}
