@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entwine.llm import copies, encoding, leaks, linkage, names, survivors, variants
+from entwine.llm import copies, encoding, leaks, linkage, names, personal, survivors, variants
 from entwine.sources.tables import table
 
 
@@ -91,4 +91,14 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     return leaks.leaks(table(spark, folder, "documents", "doc_id", "text"), table(spark, folder, "eval_items", "item_id", "text")).select("doc_id", "item_id")
 
 
-QUERIES = {"p8_found": p8_found, "p7_found": p7_found, "p7_matches": p7_matches, "p1_found": p1_found, "p4_found": p4_found, "p3_found": p3_found, "p5_found": p5_found}
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in documents, each distinct value as it stands."""
+    return personal.scan(table(spark, folder, "documents", "doc_id", "text"))[0]
+
+
+def p10_masked(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with typed placeholders in place of personal data."""
+    return personal.scan(table(spark, folder, "documents", "doc_id", "text"))[1]
+
+
+QUERIES = {"p10_found": p10_found, "p10_masked": p10_masked, "p8_found": p8_found, "p7_found": p7_found, "p7_matches": p7_matches, "p1_found": p1_found, "p4_found": p4_found, "p3_found": p3_found, "p5_found": p5_found}
