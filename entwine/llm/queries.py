@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entwine.llm import copies, encoding, leaks, linkage, names, personal, survivors, variants
+from entwine.llm import copies, encoding, leaks, linkage, mixing, names, personal, survivors, variants
 from entwine.sources.tables import table
 
 
@@ -101,4 +101,17 @@ def p10_masked(spark: SparkSession, folder: str) -> DataFrame:
     return personal.scan(table(spark, folder, "documents", "doc_id", "text"))[1]
 
 
-QUERIES = {"p10_found": p10_found, "p10_masked": p10_masked, "p8_found": p8_found, "p7_found": p7_found, "p7_matches": p7_matches, "p1_found": p1_found, "p4_found": p4_found, "p3_found": p3_found, "p5_found": p5_found}
+def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
+    """The share of tokens that each source reaches."""
+    return mixing.mix(table(spark, folder, "documents", "doc_id", "source", "text"), table(spark, folder, "mix_targets"))[1]
+
+
+def p9_selection(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents of the mixture and how often each is used."""
+    return mixing.mix(table(spark, folder, "documents", "doc_id", "source", "text"), table(spark, folder, "mix_targets"))[0]
+
+
+QUERIES = {"p9_shares": p9_shares, "p9_selection": p9_selection, "p10_found": p10_found, "p10_masked": p10_masked, "p8_found": p8_found, "p7_found": p7_found, "p7_matches": p7_matches, "p1_found": p1_found, "p4_found": p4_found, "p3_found": p3_found, "p5_found": p5_found}
+
+#: SQL for the queries that it can express; the others are tested against brute force.
+SQL: dict[str, str] = {}
