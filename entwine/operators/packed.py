@@ -22,7 +22,7 @@ STRONG = {"tab": r"\t", "line": r"\r?\n", "semi": ";", "pipe": r"\|", "bullet":
 WEAK = {"comma": ",", "slash": r"\s/\s", "dash": r"\s[-–—]\s", "tight": r"(?<=\w)/(?=\w)", "and": r"\s&\s"}
 ALL = STRONG | WEAK
 #: Bits: a delimiter of the dialect (strong, weak), quotes, another value, a word never seen per letter, and smoothing of word pairs.
-STRONG_BITS, WEAK_BITS, QUOTE_BITS, VALUE_BITS, LETTER_BITS, SMOOTH = 1.0, 4.0, 1.0, 1.0, 4.5, 2.0
+STRONG_BITS, WEAK_BITS, QUOTE_BITS, VALUE_BITS, LETTER_BITS, SMOOTH = 1.0, 2.0, 1.0, 1.0, 4.5, 2.0
 QUOTED = re.compile(r'"(?:[^"]|"")*"')
 MARK = re.compile(r"^\s*(?:[*•▪◦·–—-]\s+|\(?\d{1,3}[.)]\s+)")
 

@@ -2,28 +2,325 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
 
-from entwine.operators import packed, parse
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from entwine.functions import ids, similarity, text
+from entwine.functions import values as V
+from entwine.operators import extract, matching, packed, parse, registers, resolve
 from entwine.sources.tables import table
 
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+SQL: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None):
+    def keep(function):
+        QUERIES[name] = function
+        if sql:
+            SQL[name] = sql
+        return function
+
+    return keep
+
+
+def projection(name: str, source: str, key: str, column: Callable[[], Column], sql: str) -> None:
+    """A query of one computed column beside the table's key; columns need a session, so it is made when asked for."""
+    QUERIES[name] = lambda spark, folder: table(spark, folder, source).select(key, column().alias("value"))
+    SQL[name] = f"SELECT {key}, {sql} AS value FROM {source}"
+
+
+# Text and identifiers, one column each.
+REG, TRU, SUP = "ei_registers_normalized", "trusted_entities", "suppliers"
+N, B, S = "entity_name", "raw_brand_name", "_supplier_raw_name"
+projection("norm_name_matcher", REG, "row_id", lambda: text.name_for_matching(F.col(N)), text.name_for_matching_sql(N))
+projection("norm_name_resolver", TRU, "row_id", lambda: text.name_for_resolving(F.col(B)), text.name_for_resolving_sql(B))
+projection("norm_name_register", REG, "row_id", lambda: text.name_for_register(F.col(N)), text.name_for_register_sql(N))
+projection("norm_key_roster", TRU, "row_id", lambda: text.roster_key(F.col(B)), text.roster_key_sql(B))
+projection("clean_text", SUP, "row_id", lambda: text.clean_text(F.col(S)), text.clean_text_sql(S))
+projection("block_key", SUP, "row_id", lambda: text.block_key(text.name_for_matching(F.col(S))), f"substring({text.name_for_matching_sql(S)}, 1, 8)")
+projection("alnum_prefix", TRU, "row_id", lambda: text.letters_prefix(F.col(B)), text.letters_prefix_sql(B))
+projection("meaningful_tokens", SUP, "row_id", lambda: F.array_join(F.array_sort(text.meaningful_tokens(text.name_for_matching(F.col(S)))), " "), f"array_to_string(list_sort({text.meaningful_tokens_sql(text.name_for_matching_sql(S))}), ' ')")
+projection("coop_words", SUP, "row_id", lambda: text.contains_any(F.col(S), V.COOP_WORDS), text.contains_any_sql(S, V.COOP_WORDS))
+projection("assoc_words", SUP, "row_id", lambda: text.contains_any(F.col(S), V.ASSOC_WORDS), text.contains_any_sql(S, V.ASSOC_WORDS))
+projection("legal_form", REG, "row_id", lambda: text.legal_form(F.col(N)), text.legal_form_sql(N))
+projection("legal_form_family", REG, "row_id", lambda: text.form_family(text.legal_form(F.col(N))), text.form_family_sql(f"({text.legal_form_sql(N)})"))
+projection("name_triggers", REG, "row_id", lambda: F.array_join(text.triggers(F.col("country"), F.col(N)), ","), f"array_to_string({text.triggers_sql('country', N)}, ',')")
+projection("tax_id_normalize", SUP, "row_id", lambda: ids.tax_key(F.col("_c3")), ids.tax_key_sql("_c3"))
+projection("siren_of", SUP, "row_id", lambda: ids.siren(F.col("_c3")), ids.siren_sql("_c3"))
+projection("siren_of_digits", SUP, "row_id", lambda: ids.siren_of_digits(F.col("_c3")), ids.siren_of_digits_sql("_c3"))
+projection("fr_siren_sheet", SUP, "row_id", lambda: ids.siren_of_sheet(F.col("_c3")), ids.siren_of_sheet_sql("_c3"))
+projection("tax_extract_es", REG, "row_id", lambda: ids.tax_es(F.col("tax_id")), ids.tax_es_sql("tax_id"))
+projection("tax_extract_any", "documents", "doc_id", lambda: ids.tax_any(F.col("text")), ids.tax_any_sql("text"))
+projection("tax_extract_fr", "documents", "doc_id", lambda: ids.tax_fr(F.col("text")), ids.tax_fr_sql("text"))
+projection("tax_extract_it", "documents", "doc_id", lambda: ids.tax_it(F.col("text")), ids.tax_it_sql("text"))
+projection("tax_root", REG, "row_id", lambda: ids.tax_root(F.col("country"), F.col("tax_id")), ids.tax_root_sql("country", "tax_id"))
+ID_COLUMNS = ("country", "tax_id_root", "tax_id", "ei_register_name", "ei_registration_number", "entity_name_norm")
+projection("entity_id", REG, "row_id", lambda: ids.entity_id(*map(F.col, ID_COLUMNS)), ids.entity_id_sql(*ID_COLUMNS))
+projection("extract_domain", TRU, "row_id", lambda: ids.domain(F.col("website_hint")), ids.domain_sql("website_hint"))
+projection("extract_domain_legacy", TRU, "row_id", lambda: ids.domain(F.col("website_hint"), True), ids.domain_sql("website_hint", True))
+FILLED = ("website_hint", "business_summary", "sector")
+projection("filled_count", TRU, "row_id", lambda: ids.filled(*map(F.col, FILLED)), ids.filled_sql(*FILLED))
+
+
+@query("classify_names")
+def classify_names(spark: SparkSession, folder: str) -> DataFrame:
+    """Name flags, reasons and triggers of every supplier, with commercial form and brand."""
+    return table(spark, folder, SUP).select("row_id", *text.classified(F.col("supplier_country"), F.col(S)), text.is_commercial(F.col(S)).alias("commercial"), text.is_brand(F.col(S)).alias("brand"), text.too_generic(text.name_for_matching(F.col(S))).alias("generic"))
+
+
+@query("choose_tokens")
+def choose_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, TRU).select("row_id", F.array_join(text.chosen_tokens(text.name_for_resolving(F.col(B))), " ").alias("tokens"))
+
+
+# Joins of the cascade.
+def supplier_side(spark: SparkSession, folder: str, **options) -> DataFrame:
+    return matching.prepared(table(spark, folder, SUP), "row_id", S, "supplier_country", "_c3", **options)
+
+
+def register_side(spark: SparkSession, folder: str) -> DataFrame:
+    return matching.register(table(spark, folder, REG), "row_id")
+
+
+HEADER = f"lower({text.strip_sql(S)}) <> 'column2'"
+FIRST = "SELECT {key} AS k, min_by(entity_name, row_id) AS name FROM ei_registers_normalized WHERE coalesce({key}, '') <> '' GROUP BY 1"
+
+
+@query("tax_exact_match", f"SELECT s.row_id AS s_key, m.name AS matched FROM suppliers s JOIN ({FIRST.format(key=ids.tax_key_sql('tax_id_root'))}) m ON {ids.tax_key_sql('s._c3')} = m.k WHERE {S} IS NOT NULL AND {HEADER}")
+def tax_exact_match(spark: SparkSession, folder: str) -> DataFrame:
+    first = matching.first_per(register_side(spark, folder), "m_tax").withColumnRenamed("m_tax", "tax_key")
+    return supplier_side(spark, folder).join(first, "tax_key").select("s_key", F.col("m.m_name").alias("matched"))
+
+
+@query("siren_bridge_match", f"SELECT s.row_id AS s_key, m.name AS matched FROM suppliers s JOIN ({FIRST.format(key=ids.siren_sql('tax_id_root'))}) m ON {ids.siren_sql('s._c3')} = m.k WHERE {S} IS NOT NULL AND {HEADER}")
+def siren_bridge_match(spark: SparkSession, folder: str) -> DataFrame:
+    first = matching.first_per(register_side(spark, folder), "m_siren").withColumnRenamed("m_siren", "siren")
+    return supplier_side(spark, folder).join(first, "siren").select("s_key", F.col("m.m_name").alias("matched"))
+
+
+@query("block_counts", f"""
+WITH s AS (SELECT row_id, upper({text.strip_sql("coalesce(supplier_country, '')")}) AS land, substring({text.name_for_matching_sql(S)}, 1, 8) AS block FROM suppliers WHERE {S} IS NOT NULL AND {HEADER}),
+m AS (SELECT upper({text.strip_sql("country")}) AS land, substring({text.name_for_matching_sql(N)}, 1, 8) AS block, count(*) AS n FROM ei_registers_normalized WHERE {text.name_for_matching_sql(N)} <> '' GROUP BY 1, 2),
+a AS (SELECT block, sum(n) AS n FROM m GROUP BY 1)
+SELECT s.row_id AS s_key, m.n AS candidates FROM s JOIN m ON s.land <> '' AND s.land = m.land AND s.block = m.block
+UNION ALL SELECT s.row_id, a.n FROM s JOIN a ON s.land = '' AND s.block = a.block
+""")
+def block_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """How many register rows stand in each supplier's block; counted per block before the join, so no pair is made."""
+    s = supplier_side(spark, folder).select("s_key", "land", text.block_key(F.col("normal")).alias("block"))
+    m = register_side(spark, folder).where("m_normal <> ''").groupBy(F.col("m_land").alias("land"), text.block_key(F.col("m_normal")).alias("block")).agg(F.count("*").alias("candidates"))
+    known = s.where("land <> ''").join(m, ["land", "block"]).select("s_key", "candidates")
+    return known.unionByName(s.where("land = ''").join(m.groupBy("block").agg(F.sum("candidates").alias("candidates")), "block").select("s_key", "candidates"))
+
+
+@query("similarity_scores")
+def similarity_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """All ratios between each register name and its normal form in the table."""
+    names = table(spark, folder, REG, "row_id", N, "entity_name_norm").select("row_id", text.name_for_matching(F.col(N)).alias("a"), F.coalesce("entity_name_norm", F.lit("")).alias("b"))
+    kinds = ("ratio", "token_sort_ratio", "token_set_ratio", "partial_ratio", "partial_token_ratio", "weighted_ratio")
+    return names.select("row_id", *[similarity.score(k)("a", "b").alias(k) for k in kinds])
+
+
+@query("match_suppliers")
+def match_suppliers(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole cascade: one row per supplier."""
+    return matching.match(supplier_side(spark, folder), register_side(spark, folder))
+
+
+@query("match_suppliers_trusted")
+def match_suppliers_trusted(spark: SparkSession, folder: str) -> DataFrame:
+    """The cascade with the published brands of the roster as whitelist, joined by the normal name."""
+    trusted = table(spark, folder, TRU, B, "publish_status").where(F.col("publish_status").isin("published", "draft", "PUBLISHED", "DRAFT") & (F.length(F.trim(F.col(B))) > 0))
+    brands = trusted.select(text.name_for_matching(F.col(B)).alias("normal")).where("normal <> ''").distinct().withColumn("listed", F.lit(True))
+    sides = supplier_side(spark, folder).join(brands, "normal", "left")
+    whitelisted = sides.withColumn("by_name", F.col("by_name") | (F.coalesce("listed", F.lit(False)) & ~text.too_generic(F.col("normal")))).drop("listed")
+    return matching.match(whitelisted, register_side(spark, folder))
+
+
+# Rosters.
+def master_of(spark: SparkSession, folder: str) -> DataFrame:
+    return resolve.with_ids(table(spark, folder, REG)).withColumn("website", F.regexp_extract("se_recognition_evidence", r"((?:https?://|www\.)?[a-z0-9-]+(?:\.[a-z0-9-]+)+/?)", 1))
+
+
+@query("resolve_v1")
+def resolve_v1(spark: SparkSession, folder: str) -> DataFrame:
+    """Roster rows resolved by web domain, then by name within the country."""
+    return resolve.resolve_by_domain(table(spark, folder, TRU), master_of(spark, folder), "website")
+
+
+@query("resolve_v2")
+def resolve_v2(spark: SparkSession, folder: str) -> DataFrame:
+    """Roster rows resolved by blocks of country and first letters, widened by tokens."""
+    return resolve.resolve_by_blocks(table(spark, folder, TRU), master_of(spark, folder))
+
+
+@query("review_queue_v2")
+def review_queue_v2(spark: SparkSession, folder: str) -> DataFrame:
+    return resolve_v2(spark, folder).where("needs_review").select("r_key", F.col("match_method").alias("notes"), "best_score", "top_candidates")
+
+
+@query("resolve_rate")
+def resolve_rate(spark: SparkSession, folder: str) -> DataFrame:
+    return resolve_v2(spark, folder).agg(F.count_if(~F.col("needs_review")).alias("resolved"), F.count("*").alias("total"))
 
+
+@query("domain_join", f"""
+WITH t AS (SELECT row_id, upper({text.strip_sql("coalesce(country_hint, '')")}) AS land, {ids.domain_sql('website_hint')} AS d FROM trusted_entities),
+m AS (SELECT DISTINCT upper({text.strip_sql("country")}) AS land, {ids.domain_sql('se_recognition_evidence')} AS d FROM ei_registers_normalized)
+SELECT t.row_id, t.d AS domain FROM t JOIN m ON t.land = m.land AND t.d = m.d WHERE t.d <> '' AND t.land <> ''
+""")
+def domain_join(spark: SparkSession, folder: str) -> DataFrame:
+    t = table(spark, folder, TRU).select("row_id", F.upper(text.strip(F.coalesce("country_hint", F.lit("")))).alias("land"), ids.domain(F.col("website_hint")).alias("domain")).where("domain <> '' AND land <> ''")
+    m = table(spark, folder, REG).select(F.upper(text.strip(F.col("country"))).alias("land"), ids.domain(F.col("se_recognition_evidence")).alias("domain")).distinct()
+    return t.join(m, ["land", "domain"]).select("row_id", "domain")
+
+
+ROSTER = ("row_id", B, "website_hint", "business_summary", "sector")
+
+
+@query("roster_rebuild", f"""
+WITH u AS (SELECT row_id, {B}, coalesce(website_hint, '') AS website_hint, 2 AS priority, {ids.filled_sql('website_hint', 'business_summary', 'sector')} AS filled, {text.roster_key_sql(B)} AS k FROM trusted_entities WHERE source = 'TRUSTED_ROSTER'
+UNION ALL SELECT row_id, {B}, coalesce(website_hint, ''), 1, {ids.filled_sql('website_hint', 'business_summary', 'sector')}, {text.roster_key_sql(B)} FROM trusted_entities WHERE source = 'DIRECTORY_V22')
+SELECT k AS roster_key, row_id, priority, filled FROM u WHERE k <> '' QUALIFY row_number() OVER (PARTITION BY k ORDER BY priority DESC, filled DESC, row_id) = 1
+""")
+def roster_rebuild(spark: SparkSession, folder: str) -> DataFrame:
+    """Roster and directory made one; the better row of each name stays."""
+    rows = table(spark, folder, TRU, *ROSTER, "source")
+    parts = [(rows.where(F.col("source") == s).select(*ROSTER), p) for s, p in (("TRUSTED_ROSTER", 2), ("DIRECTORY_V22", 1))]
+    return resolve.rebuild_roster(parts).select("roster_key", "row_id", "priority", "filled")
+
+
+@query("first_wins_distinct", "SELECT country, entity_name, postcode, min(row_id) AS row_id FROM ei_registers_normalized GROUP BY ALL")
+def first_wins_distinct(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, REG, "row_id", "country", N, "postcode").groupBy("country", N, "postcode").agg(F.min("row_id").alias("row_id"))
+
+
+@query("country_semi", "SELECT row_id FROM ei_registers_normalized WHERE country IN (SELECT upper(country_hint) FROM trusted_entities)")
+def country_semi(spark: SparkSession, folder: str) -> DataFrame:
+    lands = table(spark, folder, TRU, "country_hint").select(F.upper("country_hint").alias("country")).distinct()
+    return table(spark, folder, REG, "row_id", "country").join(lands, "country", "left_semi").select("row_id")
+
+
+@query("unresolved_anti", f"SELECT row_id FROM suppliers WHERE {ids.tax_key_sql('_c3')} NOT IN (SELECT {ids.tax_key_sql('tax_id_root')} FROM ei_registers_normalized WHERE {ids.tax_key_sql('tax_id_root')} <> '')")
+def unresolved_anti(spark: SparkSession, folder: str) -> DataFrame:
+    keys = table(spark, folder, REG, "tax_id_root").select(ids.tax_key(F.col("tax_id_root")).alias("k")).where("k <> ''").distinct()
+    return table(spark, folder, SUP, "row_id", "_c3").withColumn("k", ids.tax_key(F.col("_c3"))).join(keys, "k", "left_anti").select("row_id")
+
+
+# Registers.
+@query("apply_mapping", "SELECT _supplier_raw_name AS entity_name, _c3 AS tax_id, supplier_country AS country FROM suppliers")
+def apply_mapping(spark: SparkSession, folder: str) -> DataFrame:
+    mapping = {"entity_name": ["Name", "_SUPPLIER_RAW_NAME"], "tax_id": ["_c3", "_c0"], "country": ["supplier_country"], "city": ["missing"], "province": []}
+    return registers.apply_mapping(table(spark, folder, SUP), mapping)
+
+
+@query("metadata_fill", "SELECT row_id, 'XX' AS country, source FROM trusted_entities")
+def metadata_fill(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, TRU, "row_id", "source").withColumn("country", F.lit(None).cast("string"))
+    return registers.filled_in(rows, {"country": "XX", "source": "unused"}).select("row_id", "country", "source")
+
+
+def catalogue_run(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    def failing(spark: SparkSession, source: dict) -> DataFrame:
+        raise ValueError("no such file")
+
+    readers = {"TABLE": lambda s, x: table(s, folder, x["url"]), "CSV": failing}
+    catalogue = [
+        {"country": "ES", "type": "TABLE", "name": "Suppliers", "url": SUP, "mapping": {"entity_name": [S], "tax_id": ["_c3"]}},
+        {"country": "FR", "type": "TABLE", "name": "Roster", "url": TRU, "mapping": {"entity_name": [B]}},
+        {"country": "IT", "type": "CSV", "name": "Broken", "url": "x.csv"},
+        {"country": "PT", "type": "TABLE", "name": "Off", "url": SUP, "enabled": False},
+    ]
+    return registers.run(spark, catalogue, readers, "2024-01-31")
+
+
+@query("canonical_union", f"""
+SELECT 'ES' AS country, {text.clean_text_sql(S)} AS entity_name, {ids.tax_es_sql('_c3')} AS tax_id, nullif({ids.tax_es_sql('_c3')}, '') AS tax_id_root, {text.legal_form_sql(S)} AS legal_form_local, 'Suppliers' AS ei_register_name FROM suppliers
+UNION ALL SELECT 'FR', {text.clean_text_sql(B)}, NULL, NULL, {text.legal_form_sql(B)}, 'Roster' FROM trusted_entities
+""")
+def canonical_union(spark: SparkSession, folder: str) -> DataFrame:
+    """Two sources mapped, completed and united."""
+    return catalogue_run(spark, folder)[0].select("country", N, "tax_id", "tax_id_root", "legal_form_local", "ei_register_name")
+
+
+@query("run_report")
+def run_report(spark: SparkSession, folder: str) -> DataFrame:
+    return catalogue_run(spark, folder)[1]
+
+
+@query("rows_per_source", "SELECT ei_register_name, count(*) AS n FROM ei_registers_normalized GROUP BY 1")
+def rows_per_source(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, REG, "ei_register_name").groupBy("ei_register_name").agg(F.count("*").alias("n"))
+
+
+@query("ess_filter", "SELECT o_orderkey, o_orderpriority FROM orders WHERE upper(o_orderstatus) = 'O'")
+def ess_filter(spark: SparkSession, folder: str) -> DataFrame:
+    units = table(spark, folder, "orders").withColumnRenamed("o_orderstatus", "economieSocialeSolidaireUniteLegale")
+    return units.where(F.upper("economieSocialeSolidaireUniteLegale") == "O").select("o_orderkey", "o_orderpriority")
+
+
+# Extraction, from the lines of the documents.
+@query("text_lines", r"""
+WITH l AS (SELECT doc_id AS doc, unnest(generate_series(0, len(regexp_split_to_array(text, '\r?\n')) - 1)) AS pos, unnest(regexp_split_to_array(text, '\r?\n')) AS line FROM documents)
+SELECT doc, pos::INT AS pos, """ + text.chain_sql(text.strip_sql("line"), [(r"[\s\p{Z}]+", " ")]) + " AS line FROM l WHERE " + text.strip_sql("line") + " <> ''")
+def text_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return extract.lines(table(spark, folder, "documents"), "doc_id", "text")
+
+
+@query("line_fold", r"""
+WITH l AS (SELECT doc_id AS doc, unnest(generate_series(0, len(string_split(text, chr(10))) - 1)) AS pos, unnest(string_split(text, chr(10))) AS line FROM documents),
+g AS (SELECT doc, sum(CASE WHEN length(line) % 3 = 0 OR pos = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY doc ORDER BY pos) AS island FROM l)
+SELECT doc, island::BIGINT AS island, count(*) AS n FROM g GROUP BY ALL
+""")
+def line_fold(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of lines, each begun by a marked line."""
+    rows = table(spark, folder, "documents").select(F.col("doc_id").alias("doc"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    start = F.when((F.length("line") % 3 == 0) | (F.col("pos") == 0), 1).otherwise(0)
+    island = F.sum(start).over(Window.partitionBy("doc").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return rows.select("doc", island.alias("island")).groupBy("doc", "island").agg(F.count("*").alias("n"))
+
+
+@query("ranked_rows")
+def ranked_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Ranked listing read from the documents' sentences, each third one numbered."""
+    numbered = extract.lines(table(spark, folder, "documents").withColumn("text", F.replace("text", F.lit(". "), F.lit(".\n"))), "doc_id", "text")
+    return extract.ranked_rows(numbered.withColumn("line", F.when(F.col("pos") % 3 == 0, F.concat(F.col("pos") + 1, F.lit(" "), "line")).otherwise(F.col("line"))))
+
+
+@query("json_values", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
+def json_values(spark: SparkSession, folder: str) -> DataFrame:
+    items = extract.json_items(table(spark, folder, "events", "event_id", "props"), "event_id", "props")
+    return items.select(F.col("doc").alias("event_id"), F.get_json_object("item", "$.k").cast("bigint").alias("k"))
+
+
+@query("paginate_urls", """
+SELECT source_index, address FROM (SELECT source_index, source_url AS address FROM run_report WHERE source_url IS NOT NULL
+UNION ALL SELECT source_index, concat(rtrim(source_url, '/'), '/page/', unnest(generate_series(2, 4)), '/') FROM run_report WHERE source_url IS NOT NULL)
+""")
+def paginate_urls(spark: SparkSession, folder: str) -> DataFrame:
+    sources = table(spark, folder, "run_report", "source_index", "source_url").where("source_url IS NOT NULL").withColumns({"first": F.lit(1), "last": F.lit(4)})
+    return extract.page_addresses(sources, F.col("source_url"), "first", "last").select("source_index", "address")
+
+
+# Data pipeline.
+@query("p2_found")
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     """One row per value packed in identified_clients and sector."""
-    return packed.unpack(table(spark, folder, "trusted_entities", "row_id", "identified_clients", "sector"), "row_id", ["identified_clients", "sector"])
+    return packed.unpack(table(spark, folder, TRU, "row_id", "identified_clients", "sector"), "row_id", ["identified_clients", "sector"])
 
 
+@query("p6_found")
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     """Roster lines that are no valid record, with the reason."""
     return parse.rejected(parse.parse_lines(table(spark, folder, "raw_roster_lines")), parse.ROSTER_RULES).select("line_id", "reason")
 
 
+@query("p6_rows")
 def p6_rows(spark: SparkSession, folder: str) -> DataFrame:
     """The valid roster lines as rows."""
     lines = parse.parse_lines(table(spark, folder, "raw_roster_lines"))
-    columns = ["raw_brand_name", "country_hint", "website_hint", "trusted_reason", "publish_status", "source", "updated_on"]
+    columns = [B, "country_hint", "website_hint", "trusted_reason", "publish_status", "source", "updated_on"]
     return parse.accepted(lines, parse.rejected(lines, parse.ROSTER_RULES), columns)
-
-
-QUERIES = {"p2_found": p2_found, "p6_found": p6_found, "p6_rows": p6_rows}
-SQL: dict[str, str] = {}
