@@ -102,12 +102,17 @@ def candidates(fields: DataFrame) -> DataFrame:
     return distinct.withColumn("parses", parses("text"))
 
 
+def context(before: str, word: str) -> str:
+    """What the next word depends on: the word, with the sign before it if there is one ("& Sons" ends a name, "Sons" need not)."""
+    return f"{before} {word}" if before and not before.isalnum() else word
+
+
 def pairs_of(parses: DataFrame) -> DataFrame:
-    """The word pairs of the values of each parse: its columns, w1, w2; "" is begin and end."""
+    """The word pairs of the values of each parse: its columns, w1 (in its context), w2; "" is begin and end."""
 
     @F.pandas_udf("array<struct<w1:string,w2:string>>")
     def pairs(values: pd.Series) -> pd.Series:
-        return pd.Series([[{"w1": a, "w2": b} for v in vs for ws in [["", *words(v), ""]] for a, b in zip(ws, ws[1:])] for vs in values])
+        return pd.Series([[{"w1": context(o, a), "w2": b} for v in vs for ws in [["", "", *words(v), ""]] for o, a, b in zip(ws, ws[1:], ws[2:])] for vs in values])
 
     return parses.withColumn("p", F.explode(pairs("vals"))).select(*[c for c in parses.columns if c != "vals"], "p.w1", "p.w2")
 
