@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from entwine.plans.durable import spread
+
 #: Encodings in which UTF-8 bytes may have been read.
 MULTI = ("cp1252", "latin-1", "cp850", "cp437", "mac_roman", "cp1250")
 #: Pairs (written in, read in) of single-byte encodings.
@@ -232,7 +234,7 @@ def restore(names: DataFrame, corpus: DataFrame) -> DataFrame:
         .agg(F.count("*").alias("seen"))
     )
     odd = names.where(suspect(F.col("name"), F.col("land")))
-    distinct = odd.select("name").distinct()
+    distinct = spread(odd.select("name").distinct())
     options = distinct.select("name", F.explode(read_words(F.col("name"))).alias("o")).select("name", "o.*").withColumn("k", key_of(F.col("word")))
     weighed = options.join(counts, "k", "left").withColumn("seen", F.coalesce("seen", F.lit(0)))
     rows = weighed.groupBy("name").agg(F.collect_list(F.struct("pos", "word", "codec", "bits", "seen")).alias("options"))

@@ -128,22 +128,27 @@ def gazetteer(places: DataFrame) -> frozenset[str]:
     return frozenset(w for name in names for w in re.findall(r"[^\W\d_]+", name) if len(w) >= 2)
 
 
-def with_parsed(df: DataFrame, name: str, places: frozenset[str] = frozenset()) -> DataFrame:
-    """`df` with parse_name() of column `name` as columns core, initial, given, acts and lands.
+def with_line(df: DataFrame, name: str, places: frozenset[str] = frozenset()) -> DataFrame:
+    """`df` with parse_name() of column `name` packed in one text, `line`.
 
-    The function hands back one line of text, which costs less to transfer than nested columns, and is
-    marked as not deterministic so that no filter on its result runs it twice.
+    One line of text costs less to transfer and to keep than nested columns. The function is marked as not
+    deterministic so that no filter on its result runs it twice.
     """
 
     @F.pandas_udf("string")
     def parse(names: pd.Series) -> pd.Series:
         return pd.Series(["\t".join((" ".join(c), i or "", g or "", " ".join(a), " ".join(z))) for c, i, g, a, z in (parse_name(x, places) for x in names)])
 
-    parts = F.split("_line", "\t")
+    return df.withColumn("line", parse.asNondeterministic()(F.col(name)))
+
+
+def unpacked(df: DataFrame) -> DataFrame:
+    """`df` with what its `line` says: core, initial (of names with one word in full), given, acts and lands."""
+    parts = F.split("line", "\t")
     words = lambda i: F.filter(F.split(parts[i], " "), lambda x: x != "")
     text = lambda i: F.when(parts[i] != "", parts[i])
-    lined = df.withColumn("_line", parse.asNondeterministic()(F.col(name)))
-    return lined.select(*df.columns, words(0).alias("core"), text(1).alias("initial"), text(2).alias("given"), words(3).alias("acts"), words(4).alias("lands"))
+    initial = F.when(~parts[0].contains(" ") & (parts[0] != ""), text(1))
+    return df.select("*", words(0).alias("core"), initial.alias("initial"), text(2).alias("given"), words(3).alias("acts"), words(4).alias("lands"))
 
 
 def land_of(hint: Column) -> Column:
