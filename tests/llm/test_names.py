@@ -173,3 +173,19 @@ def test_linkage(spark):
     got = {(r.row_id_a, r.row_id_b): r.confidence for r in linkage.matches(left, right, frozenset()).collect()}
     assert set(got) == {(1, 11), (2, 11), (3, 12)} and all(0 <= c <= 1 for c in got.values()) and got[1, 11] >= 0.9
     assert linkage.matches(left.limit(0), right, frozenset()).count() == 0
+
+
+def test_hamming_index_finds_all_that_the_segment_index_finds(spark):
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefghijklmnoprstuvz") for _ in range(rng.randint(5, 18))) for _ in range(150)]
+    for w in words[:]:
+        changed = list(w)
+        for at in rng.sample(range(len(w)), variants.edits(len(w))):
+            changed[at] = rng.choice([c for c in "abcdefghijklmnoprstuvz" if c != w[at]])
+        words += ["".join(changed), noisy(rng, w, variants.edits(len(w)))]
+    rows = [(i, "ES", [w], None, None, [], ["ES"]) for i, w in enumerate(dict.fromkeys(words))]
+    forms = spark.createDataFrame(rows, "form long, land string, core array<string>, initial string, given string, acts array<string>, lands array<string>")
+    text = {r[0]: r[2][0] for r in rows}
+    found = [{tuple(sorted((r.a, r.b))) for r in variants.close_pairs(forms, "full", ["ES"], index).collect()} for index in (variants.segment_index, linkage.hamming_index)]
+    want = {(a, b) for a, b in combinations(sorted(text), 2) if lev(text[a], text[b]) <= variants.edits(min(len(text[a]), len(text[b])))}
+    assert len(want) > 200 and found[0] == want and found[1] == want
