@@ -3,7 +3,9 @@
 Each item is cut into pieces so short that a passage with its budget of edits holds at least one piece
 unchanged; one scan of a text by an automaton of all pieces finds every such hit. Hits along one diagonal
 make a passage, whose distance to the item's words a bit-parallel edit distance measures. A passage counts by
-what it holds of the item's words weighted by rarity, so wording common to many texts proves nothing.
+what it holds of the item's words weighted by rarity, so wording common to many texts proves nothing. Copies and
+near copies of a text, found by bands of min-hashes, count as one text there, so a leak does not become common by
+being copied.
 """
 
 from __future__ import annotations
@@ -13,13 +15,16 @@ from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from math import log
+from zlib import crc32
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from entwine.llm.copies import mix
 from entwine.llm.words import plain
-from entwine.plans.durable import spread
+from entwine.plans.durable import durable, spread
 
 #: Words of a piece. With one edit in RATE words, of any 2 * PIECE - 1 consecutive words at least one piece is whole.
 PIECE = 4
@@ -29,6 +34,9 @@ HALF, WEIGHT = 0.5, 0.6
 RARE, STOCK, SIGN = 0.005, 0.1, 0.15
 #: Passages of an item in one text that may be put together, and the shift between hits that an edit may cause.
 PARTS, SHIFT = 2, 4
+#: Words of a shingle, bands of a text's signature, min-hashes of a band. Near copies with four fifths of their shingles in common share a band nearly always.
+SHINGLE, BANDS, ROWS = 4, 8, 4
+SEEDS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64))
 #: Characters of items searched in one pass; a larger set of items goes through the corpus in several passes.
 BLOCK_CHARS = 32_000_000
 WORD = re.compile(r"[^\W_]+")
@@ -38,6 +46,23 @@ def words_of(text: str | None) -> list[str]:
     return WORD.findall(plain(text)) if text else []
 
 
+def signature(words: list[str]) -> list[int]:
+    """BANDS keys of the shingles of a text; near copies have at least one in common."""
+    codes = np.fromiter((crc32(w.encode("utf-8", "surrogatepass")) for w in words), np.uint64, len(words))
+    n = max(1, len(codes) - SHINGLE + 1)
+    shingles = np.zeros(n, np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(min(SHINGLE, len(codes))):
+            shingles = mix(shingles + codes[k : k + n] + np.uint64(k))
+        least = np.full(len(SEEDS), 2**64 - 1, np.uint64)
+        for at in range(0, n, 10_000):
+            least = np.minimum(least, mix(shingles[at : at + 10_000, None] ^ SEEDS).min(0))
+        keys = np.arange(BANDS, dtype=np.uint64)
+        for row in least.reshape(ROWS, BANDS):
+            keys = mix(keys + row)
+    return keys.view(np.int64).tolist()
+
+
 def distance(pattern: list[str], text: list[str]) -> int:
     """Least edits between the whole of `pattern` and any stretch of `text`, by Myers' bit-parallel columns over words."""
     m = len(pattern)
@@ -117,7 +142,7 @@ class Items:
             else:
                 best.append(hit)
         parts = []
-        for chain in sorted(chains, key=len, reverse=True)[: 4 * PARTS]:
+        for chain in chains:
             i0, d0 = chain[0][:2]
             i1, d1 = chain[-1][0] + chain[-1][2], chain[-1][1] + chain[-1][2]
             i0, d0 = self.extend(ws, words, i0 - 1, d0 - 1, -1)
@@ -132,7 +157,11 @@ class Items:
         parts.sort(reverse=True)
         best = None
         for a, one in enumerate(parts):
+            if 2 * one[0] < need:
+                break
             for two in [None, *parts[a + 1 :]]:
+                if two and one[0] + two[0] < need:
+                    break
                 if two and not ((one[2] <= two[1] + 2 and one[4] <= two[3] + 2) or (two[2] <= one[1] + 2 and two[4] <= one[3] + 2)):
                     continue
                 both = [one, two] if two else [one]
@@ -179,20 +208,23 @@ def leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
     """
     spark, found = documents.sparkSession, None
     texts = documents.select("doc_id", "text").where("text IS NOT NULL")
-    total = texts.count()
+    distinct = texts.select("text").distinct()
     for block in blocks(items.select("item_id", "text")):
         vocabulary = frozenset(w for _, t in block for w in words_of(t))
 
-        def count(batches: Iterator[pd.DataFrame], vocabulary=vocabulary) -> Iterator[pd.DataFrame]:
-            seen: Counter = Counter()
+        def hold(batches: Iterator[pd.DataFrame], vocabulary=vocabulary) -> Iterator[pd.DataFrame]:
             for batch in batches:
-                for text in batch.text:
-                    seen.update(vocabulary.intersection(words_of(text)))
-            yield pd.DataFrame({"word": list(seen), "n": list(seen.values())})
-
-        counted = spread(texts.select("text")).mapInPandas(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()  # one row per word of the block
+                words = [words_of(t) for t in batch.text]
+                yield pd.DataFrame({"id": batch.id, "bands": [signature(ws) for ws in words], "words": [list(vocabulary.intersection(ws)) for ws in words]})
+
+        held = durable(spread(distinct).select(F.xxhash64("text").alias("id"), "text").mapInPandas(hold, "id long, bands array<long>, words array<string>"))
+        banded = held.select("id", F.explode("bands").alias("band"))
+        weights = banded.join(banded.groupBy("band").agg(F.count("*").alias("n")), "band").groupBy("id").agg((1.0 / F.max("n")).alias("w"))
+        weighed = durable(held.select("id", "words").join(weights, "id"))
+        total = weighed.agg(F.coalesce(F.sum("w"), F.lit(0.0))).first()[0]
+        counted = weighed.select(F.explode("words").alias("word"), "w").groupBy("word").agg(F.sum("w").alias("n")).collect()  # one row per word of the block
         often = {r.word: r.n for r in counted}
-        rarity = {w: log((total + 1) / (often.get(w, 0) + 1)) * (1.0 if often.get(w, 0) <= RARE * total + 3 else STOCK) for w in vocabulary}
+        rarity = {w: max(0.0, log((total + 1) / (often.get(w, 0) + 1))) * (1.0 if often.get(w, 0) <= RARE * total + 3 else STOCK) for w in vocabulary}
         shared = spark.sparkContext.broadcast((block, rarity))
 
         def search(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:

@@ -121,3 +121,37 @@ def test_repetitions_agree():
     for node, feature in zip(nodes, ("strong", "weak", "weak")):
         node.features = [feature]
     assert field.label(nodes) == ["phone", "phone", "O"]
+
+
+def test_copied_leak_does_not_become_stock(spark):
+    rng = random.Random(4)
+    vocabulary = [f"wort{i}" for i in range(5000)]
+    items = [(i, " ".join(rng.sample(vocabulary, 80))) for i in range(10)]
+    half = items[0][1].split()[:44]
+    base = rng.sample(vocabulary, 60)
+    docs = []
+    for d in range(400):
+        if d < 130:  # near copies of one document, each with a word of its own
+            words = base[:30] + half + base[30:]
+            words[rng.randrange(30)] = f"eigen{d}"
+        else:
+            words = rng.sample(vocabulary, 100)
+        docs.append((d, " ".join(words)))
+    frames = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    assert {tuple(r)[:2] for r in leaks.leaks(*frames).collect()} == {(d, 0) for d in range(130)}
+
+
+def test_every_chain_is_examined():
+    rng = random.Random(5)
+    item = [f"wort{i}" for i in range(80)]
+    held = leaks.Items([(1, " ".join(item))], {w: 1.0 for w in item})
+    text = []
+    for _ in range(9):  # decoys: eight whole pieces each, with too many words between
+        for at in range(0, 32, 4):
+            text += item[at : at + 4] + [f"x{rng.random()}" for _ in range(4 if at % 8 else 3)]
+    text += [f"z{i}" for i in range(30)]
+    real = item[40:80]
+    for at in (2, 6, 14, 18):  # within the edits, and fewer whole pieces than a decoy
+        real[at] = f"y{at}"
+    text += item[36:40] + real
+    assert [k for k, _ in held.leaked(" ".join(text))] == [1]
