@@ -148,7 +148,7 @@ def test_every_chain_is_examined():
     text = []
     for _ in range(9):  # decoys: eight whole pieces each, with too many words between
         for at in range(0, 32, 4):
-            text += item[at : at + 4] + [f"x{rng.random()}" for _ in range(4 if at % 8 else 3)]
+            text += item[at : at + 4] + [f"x{rng.randrange(10**9)}" for _ in range(4 if at % 8 else 3)]
     text += [f"z{i}" for i in range(30)]
     real = item[40:80]
     for at in (2, 6, 14, 18):  # within the edits, and fewer whole pieces than a decoy
