@@ -11,6 +11,7 @@ places whose form and context leave no doubt.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from math import log
@@ -21,11 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from entwine.llm.words import ACTIVITIES, GIVEN, plain
-from entwine.plans.durable import spread
+from entwine.plans.durable import durable, spread
 
-#: Texts on which weights are trained and common words are learned: the ones with the least hash of their text.
+#: Texts on which weights are trained: the ones with the least hash of their text.
 TRAIN_TEXTS = 3_000
-#: Share of the sampled texts from which a capitalised word is no surname.
+#: Share of all distinct texts from which a capitalised word is no surname, unless it mostly stands where surnames do.
 COMMON = 0.004
 #: Message passing: rounds, and the margin beyond which a place keeps its label.
 ROUNDS, SURE = 6, 4.0
@@ -276,11 +277,65 @@ def train(texts: list[str], common: frozenset[str], steps: int = 60, rate: float
     return Field(unary, chain, log((agree + 1) / (total - agree + 1)) if total else 1.0)
 
 
+def beside_names(text: str) -> set[str]:
+    """Folded words that stand as surnames do: up to two behind a given name, an initial or a title, or before a given name and a comma."""
+    out: set[str] = set()
+    for m in re.finditer(RUN, text):
+        tokens = list(re.finditer(WORD, m[0]))
+        if len(tokens) < 2:
+            continue
+        folded = [plain(t[0].rstrip(".")).replace("’", "'") for t in tokens]
+        shows = [f in GIVEN_NAMES or f in TITLES or bool(re.fullmatch(r"(?:[A-ZÀ-Ý]\.-?)+", t[0])) for f, t in zip(folded, tokens)]
+        behind = 0
+        for i, f in enumerate(folded):
+            comma = i > 0 and "," in m[0][tokens[i - 1].end() : tokens[i].start()]
+            if shows[i]:
+                behind = 2
+                if comma and not shows[i - 1]:
+                    out.add(folded[i - 1])
+            elif behind and not comma:
+                out.add(f)
+                behind -= 1
+            else:
+                behind = 0
+    return out
+
+
+def common_words(texts: DataFrame) -> frozenset[str]:
+    """The words of `texts` (text, distinct) that are no surname, however they are written.
+
+    They are in more than COMMON of all texts, and in most of these either in lower case only or not where
+    surnames stand. Only they come to the driver: with some hundred words a text at most some ten thousand.
+    """
+
+    def tally(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        often, lower, named = Counter(), Counter(), Counter()
+        texts = 0
+        for batch in batches:
+            for text in batch.text:
+                texts += 1
+                small: set[str] = set()
+                large: set[str] = set()
+                for w in set(re.findall(r"[^\W\d_]+", unicodedata.normalize("NFC", text))):
+                    (small if w.islower() else large).add(w)
+                small, large = (set(re.findall(r"[^\W\d_]+", plain(" ".join(x)))) for x in (small, large))
+                often.update(small | large)
+                lower.update(small - large)
+                named.update(beside_names(text) & large)
+        rows = [(w, n, lower[w], named[w]) for w, n in often.items()] + [("", texts, 0, 0)]  # the empty word counts the texts
+        yield pd.DataFrame(rows, columns=["word", "n", "low", "named"])
+
+    counts = durable(spread(texts).mapInPandas(tally, "word string, n long, low long, named long").groupBy("word").agg(*[F.sum(c).alias(c) for c in ("n", "low", "named")]))
+    total = counts.where("word = ''").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    usual = counts.where(F.col("word") != "").where(F.col("n") > max(3, COMMON * total)).where("2 * low > n OR 2 * named < n")
+    return frozenset(r.word for r in usual.select("word").collect()) - GIVEN_NAMES
+
+
 def fitted(documents: DataFrame) -> tuple[Field, frozenset[str]]:
-    """Field and common words from TRAIN_TEXTS texts; the sample is the only thing that comes to the driver."""
-    sample = [r.text for r in documents.where("text IS NOT NULL").select("text").distinct().orderBy(F.xxhash64("text")).limit(TRAIN_TEXTS).collect()]
-    often = Counter(w for t in sample for w in set(re.findall(r"[^\W\d_]+", plain(t))))
-    common = frozenset(w for w, n in often.items() if n > max(3, COMMON * len(sample)) and w not in GIVEN_NAMES)
+    """Field, from TRAIN_TEXTS texts, and common words, from all; the sample and those words are all that comes to the driver."""
+    texts = documents.where("text IS NOT NULL").select("text").distinct()
+    sample = [r.text for r in texts.orderBy(F.xxhash64("text")).limit(TRAIN_TEXTS).collect()]
+    common = common_words(texts)
     return train(sample, common), common
 
 

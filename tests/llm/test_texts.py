@@ -155,3 +155,13 @@ def test_every_chain_is_examined():
         real[at] = f"y{at}"
     text += item[36:40] + real
     assert [k for k, _ in held.leaked(" ".join(text))] == [1]
+
+
+def test_recurring_surname_is_found(spark):
+    texts = [f"Contacto: María Zugre, expediente {i}. El servicio continúa sin cambios." if i % 3 else f"El servicio número {i} continúa. Servicio abierto. Firma: Zugre, Dolores." for i in range(60)]
+    texts += [f"Texto {i} sobre otra cosa." for i in range(40)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {(r.doc_id, r.pii_value) for r in personal.scan(df)[0].collect() if r.pii_type == "person_name"}
+    assert found == {(i, "María Zugre" if i % 3 else "Zugre, Dolores") for i in range(60)}
+    common = personal.common_words(df.select("text"))
+    assert {"servicio", "contacto", "expediente"} <= common and "zugre" not in common
