@@ -2,7 +2,7 @@
 
 A noisy channel: the true name was written in one encoding and read in another, whole or in part, once
 or twice. For each word of a suspect name a lattice over its bytes holds every reading of every span;
-lost bytes (U+FFFD) stay wildcards. The words that the lattice
+lost bytes (U+FFFD) stay as they are. The words that the lattice
 yields are weighed with the word frequencies of all undamaged names, and a Viterbi search over the words
 of the name picks the reading with the least cost, where changing the encoding within a name costs too.
 """
