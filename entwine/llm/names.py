@@ -129,28 +129,21 @@ def gazetteer(places: DataFrame) -> frozenset[str]:
 
 
 def with_line(df: DataFrame, name: str, places: frozenset[str] = frozenset()) -> DataFrame:
-    """`df` with parse_name() of column `name` packed in one text, `line`.
+    """`df` with parse_name() of column `name` packed in one text, `line`: words, initial, given name, activities, lands, with tabs between.
 
     One line of text costs less to transfer and to keep than nested columns. The function is marked as not
     deterministic so that no filter on its result runs it twice.
     """
 
+    shared = df.sparkSession.sparkContext.broadcast(places)
+
     @F.pandas_udf("string")
     def parse(names: pd.Series) -> pd.Series:
-        return pd.Series(["\t".join((" ".join(c), i or "", g or "", " ".join(a), " ".join(z))) for c, i, g, a, z in (parse_name(x, places) for x in names)])
+        return pd.Series(["\t".join((" ".join(c), i or "", g or "", " ".join(a), " ".join(z))) for c, i, g, a, z in (parse_name(x, shared.value) for x in names)])
 
     return df.withColumn("line", parse.asNondeterministic()(F.col(name)))
 
 
-def unpacked(df: DataFrame) -> DataFrame:
-    """`df` with what its `line` says: core, initial (of names with one word in full), given, acts and lands."""
-    parts = F.split("line", "\t")
-    words = lambda i: F.filter(F.split(parts[i], " "), lambda x: x != "")
-    text = lambda i: F.when(parts[i] != "", parts[i])
-    initial = F.when(~parts[0].contains(" ") & (parts[0] != ""), text(1))
-    return df.select("*", words(0).alias("core"), initial.alias("initial"), text(2).alias("given"), words(3).alias("acts"), words(4).alias("lands"))
-
-
 def land_of(hint: Column) -> Column:
     """Country code of a code or a country's name in any usual language, else null."""
     folded = F.regexp_replace(F.lower(F.translate(F.trim(hint), "ÑñÃãÇçÖöÅåÁáÉé", "nnaaccooaaaaee")), "[^a-z]", "")

@@ -26,7 +26,7 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     """The rows whose summary, website and sector survive for each organisation in trusted_entities."""
     trusted = table(spark, folder, "trusted_entities")
     named = mended(both_names(spark, folder)).where("table_name = 'trusted_entities'").select("row_id", "name", "land")
-    grouped = variants.entities(named, cities(spark, folder)).select("row_id", "entity")
+    grouped = variants.entities(named, cities(spark, folder))
     fields = {"business_summary": survivors.is_whole(F.col("business_summary")), "website_hint": survivors.has_host(F.col("website_hint")), "sector": survivors.tells(F.col("sector"))}
     found = survivors.survivors(trusted.join(grouped, "row_id"), "entity", "row_id", "source", "updated_at", fields, table(spark, folder, "roster_sources"))
     return found.select("group_row_id", "field_name", "row_id")
@@ -62,10 +62,9 @@ def cities(spark: SparkSession, folder: str) -> frozenset[str]:
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     """Pairs of rows whose names are spellings of one name."""
     rows = both_names(spark, folder).unionByName(supplier_names(spark, folder)).drop("table_name")
-    clean = rows.where(~encoding.suspect(F.col("name"), F.col("land"))).select("row_id", "name", "land")
-    linked = variants.entities(clean, cities(spark, folder))
-    hashed = linked.select("row_id", "entity", copies.record_hash(F.col("name")).alias("h")).select("row_id", "entity", "h.h1", "h.h2")
-    return variants.variant_pairs(hashed)
+    clean = rows.where(~encoding.suspect(F.col("name"), F.col("land"))).select("row_id", copies.record_hash(F.col("name")).alias("h"), "name", "land")
+    linked = variants.entities(clean.select("row_id", F.xxhash64("h.h1", "h.h2").alias("h"), "name", "land"), cities(spark, folder))
+    return variants.variant_pairs(linked)
 
 
 def p7_matches(spark: SparkSession, folder: str) -> DataFrame:

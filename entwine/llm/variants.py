@@ -8,153 +8,122 @@ initial are found in the same index under their first word and initial. Links ma
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from entwine.llm.names import unpacked, with_line
+from entwine.llm.names import with_line
 from entwine.plans.durable import durable
 
 #: Land of names whose country nothing tells.
 NOWHERE = "??"
+#: Edits allowed by the letters of the shorter string: for names in full, and for a word with an initial or a given name.
+ALLOWED = {"full": "CASE WHEN {n} >= 9 THEN 2 WHEN {n} >= 5 THEN 1 ELSE 0 END", "short": "CASE WHEN {n} >= 8 THEN 2 WHEN {n} >= 6 THEN 1 ELSE 0 END"}
 
 
+def texts_of(side: str) -> Column:
+    """The strings that stand for a form (core, initial, given) on one side of the index, as array of (kind, p, r).
 
-def edits(length: int) -> int:
-    """Edits allowed between two strings of which the shorter has `length` characters."""
-    return 2 if length >= 9 else 1 if length >= 5 else 0
-
-
-def short_edits(length: int) -> int:
-    """The same for a word with an initial or a given name; of two edits, only two letters swapped pass."""
-    return 2 if length >= 8 else 1 if length >= 6 else 0
-
-
-def segments(length: int, k: int) -> list[tuple[int, int]]:
-    """Start and length of k+1 segments as even as possible, the longer ones last."""
-    n, extra = divmod(length, k + 1)
-    out, at = [], 0
-    for i in range(k + 1):
-        size = n + (i >= k + 1 - extra)
-        out.append((at, size))
-        at += size
-    return out
-
-
-def index_keys(text: str, k: int) -> list[str]:
-    """The keys under which `text` stands in the index for k edits."""
-    return [f"{len(text)}.{i}.{text[p : p + n]}" for i, (p, n) in enumerate(segments(len(text), k))]
-
-
-def probe_keys(text: str, k: int, length: int) -> list[str]:
-    """The keys that find all strings of `length` characters within k edits of `text`: substrings at the places to which i edits before and k-i edits after can shift a segment."""
-    out, delta = [], len(text) - length
-    for i, (p, n) in enumerate(segments(length, k)):
-        low = max(0, p - i, p + delta - (k - i))
-        high = min(len(text) - n, p + i, p + delta + (k - i))
-        out += [f"{length}.{i}.{text[s : s + n]}" for s in range(low, high + 1)]
-    return list(dict.fromkeys(out))
-
-
-def turns(words: list[str]) -> list[str]:
-    """The words joined, once for each word to begin with."""
-    return list(dict.fromkeys("".join([*words[i:], *words[:i]]) for i in range(len(words))))
-
-
-def texts(kind: str, side: str, words: list[str], second: str | None) -> list[str]:
-    """The strings that stand for a form on one side of the index.
-
-    full: all words, on the index side in each rotation. short: a word with the initial of the other.
-    person: a surname with the given name, where the form names two surnames or that one only.
+    full: all words in any order. Two words stand in the index in both orders. Of more words two hold all edits in
+    some pair of orders, so each choice of two (r) is keyed together with the others as they are (p); the words of
+    such a name also stand joined, in each rotation, for names in which a blank was typed or lost.
+    short: a word with the initial of the other. person: a surname with the given name, where the form names two
+    surnames or that one only.
+    """
+    w, n, both = F.split("core", " "), F.size(F.split("core", " ")), side == "index"
+    entry = lambda kind, p, r: F.struct(F.lit(kind).alias("kind"), p.alias("p"), r.alias("r"))
+    full = lambda r: entry("full", F.lit(""), r)
+    orders = lambda p, a, b: F.array(entry("full", p, F.concat(a, b)), *([entry("full", p, F.concat(b, a))] if both else []))
+    rest = lambda i, j: F.array_join(F.array_sort(F.filter(w, lambda x, k: (k != i) & (k != j))), "_")
+    chosen = F.flatten(F.flatten(F.transform(F.sequence(F.lit(0), n - 2), lambda i: F.transform(F.sequence(i + 1, n - 1), lambda j: orders(rest(i, j), w[i], w[j])))))
+    turned = lambda i: full(F.array_join(F.concat(F.slice(w, i + 1, n - i), F.slice(w, F.lit(1), i)), ""))
+    turns = F.transform(F.sequence(F.lit(0), n - 1), turned) if both else F.array(turned(F.lit(0)))
+    empty = F.slice(F.array(full(F.lit(""))), 1, 0)
+    whole = F.when((n == 1) & F.col("initial").isNull(), F.array(full(w[0]))).when(n == 2, orders(F.lit(""), w[0], F.get(w, F.lit(1)))).when(n > 2, F.concat(turns, chosen)).otherwise(empty)
+    second = F.get(w, F.lit(1))
+    short = F.when((n == 1) & F.col("initial").isNotNull(), F.array(entry("short", F.lit(""), F.concat(w[0], "initial"))))
+    if both:
+        short = short.when(n == 2, F.array(entry("short", F.lit(""), F.concat(w[0], F.left(second, F.lit(1)))), entry("short", F.lit(""), F.concat(second, F.left(w[0], F.lit(1))))))
+    person = F.when((n == 2) & ((second == F.col("given")) == F.lit(not both)), F.array(entry("person", F.lit(""), F.concat(w[0], "given")))).otherwise(empty)
+    return F.concat(whole, short.otherwise(empty), person)
+
+
+def segment_keys(forms: DataFrame, side: str) -> DataFrame:
+    """`forms` with kind, s and h: a row for each key of the segment index, all native.
+
+    A string of n letters with k edits is cut into k+1 segments as even as possible, the longer ones last. Index:
+    its own segments. Probe: for each length that k edits allow, the substrings at the places to which i edits
+    before and k-i after can shift segment i. Edits go by the shorter string of a pair, for `full` always the one
+    in the index.
     """
-    if kind == "full":
-        whole = len(words) > 1 or bool(words) and not second
-        return (turns(words) if side == "index" else ["".join(words)]) if whole else []
-    if kind == "short":
-        if len(words) == 1 and second:
-            return [words[0] + second]
-        return [words[0] + words[1][0], words[1] + words[0][0]] if len(words) == 2 and side == "index" else []
-    if not second or len(words) != 2:
-        return []
-    return [words[0] + second] if (words[1] == second) == (side == "probe") else []
-
-
-def segment_keys(kind: str, side: str, text: str) -> list[str]:
-    """Keys of the segment index. Edits go by the shorter string of a pair, for `full` always the one in the index."""
-    allowed = edits if kind == "full" else short_edits
+    each = forms.withColumn("t", F.explode(texts_of(side))).select(*[c for c in forms.columns if c not in ("core", "initial", "given")], "t.*")
+    each = each.withColumn("n", F.length("r")).withColumn("m", F.length(F.replace("p", F.lit("_"), F.lit(""))))
+    allowed = lambda n: f"IF(kind = 'full', {ALLOWED['full'].format(n=f'({n} + m)')}, {ALLOWED['short'].format(n=n)})"
+    size = lambda i, n, k: f"CAST({n} DIV ({k} + 1) + IF({i} >= {k} + 1 - {n} % ({k} + 1), 1, 0) AS INT)"
+    start = lambda i, n, k: f"CAST({i} * ({n} DIV ({k} + 1)) + greatest(0, {i} - ({k} + 1 - {n} % ({k} + 1))) AS INT)"
+    key = lambda n, i, text: f"xxhash64(kind, in, p, {n}, {i}, {text})"
     if side == "index":
-        return [f"{kind}{k}|{key}" for k in [allowed(len(text))] for key in index_keys(text, k)]
-    out = []
-    for length in range(max(1, len(text) - 2), len(text) + (1 if kind == "full" else 2)):
-        k = allowed(length)
-        if abs(length - len(text)) <= k:
-            out += [f"{kind}{k}|{key}" for key in probe_keys(text, k, length)]
-    return out
-
-
-def segment_index(kind: str, side: str):
-    """An Arrow function from a form to its keys, each followed by a tab and the string it belongs to."""
-
-    @F.pandas_udf("array<string>")
-    def keys(core: pd.Series, second: pd.Series) -> pd.Series:
-        return pd.Series([[k + "\t" + t for t in texts(kind, side, list(c), s) for k in segment_keys(kind, side, t)] for c, s in zip(core, second)])
-
-    return keys
-
-
-#: Whether both sides of a pair find each other, so that one direction is enough.
-segment_index.symmetric = False
+        keys = f"transform(sequence(0, k), i -> {key('n', 'i', f'substring(r, {start('i', 'n', 'k')} + 1, {size('i', 'n', 'k')})')})"
+        return each.withColumn("k", F.expr(allowed("n"))).withColumn("h", F.explode(F.expr(keys))).drop("k", "m")
+    lengths = f"filter(transform(sequence(greatest(1, n - 2), IF(kind = 'full', n, n + 1)), l -> struct(l AS l, {allowed('l')} AS k)), x -> abs(x.l - n) <= x.k)"
+    cuts = f"flatten(transform({lengths}, x -> transform(sequence(0, x.k), i -> struct(x.l AS l, x.k AS k, i AS i, {start('i', 'x.l', 'x.k')} AS at, {size('i', 'x.l', 'x.k')} AS z))))"
+    first, last = "greatest(0, c.at - c.i, c.at + n - c.l - (c.k - c.i))", "least(n - c.z, c.at + c.i, c.at + n - c.l + c.k - c.i)"
+    keys = f"array_distinct(flatten(transform({cuts}, c -> IF({first} <= {last}, transform(sequence({first}, {last}), q -> {key('c.l', 'c.i', 'substring(r, q + 1, c.z)')}), array()))))"
+    return each.withColumn("h", F.explode(F.expr(keys))).drop("m")
 
 
 def forms_of(rows: DataFrame, places: frozenset[str]) -> tuple[DataFrame, DataFrame]:
-    """(rows with `form`, forms). rows: key columns, `name`, `land` (null where unknown).
+    """(key columns with `form`, forms). rows: key columns, then `name` and `land` (null where unknown).
 
-    A form is a set of distinctive words, an initial and a land. Rows whose name has no distinctive word
-    get no form. A null land becomes the only land in whose names the general words are usual, or NOWHERE.
+    A form is a set of distinctive words, an initial and a land; its words, acts and lands are texts of words with
+    single blanks. Rows whose name has no distinctive word get no form. A null land becomes the only land in whose
+    names the general words are usual, or NOWHERE.
     """
-    spelled = with_line(rows.select("name").where(F.col("name").isNotNull()).distinct(), "name", places).where("line NOT LIKE '\t%'")
-    known = unpacked(rows.join(spelled, "name"))
-    land = F.coalesce("land", F.when(F.size("lands") == 1, F.element_at("lands", 1)), F.lit(NOWHERE))
-    label = F.concat_ws("|", land, F.array_join(F.array_sort("core"), " "), F.coalesce("initial", F.lit("")))
-    known = durable(known.select(*rows.columns[:-1], land.alias("land"), "line", F.xxhash64(label).alias("form")))
-    forms = unpacked(known.select("form", "land", "line").distinct()).groupBy("form").agg(
-        F.first("land").alias("land"), F.min("core").alias("core"), F.first("initial").alias("initial"), F.min("given").alias("given"),
-        F.array_distinct(F.flatten(F.collect_set("acts"))).alias("acts"), F.array_distinct(F.flatten(F.collect_set("lands"))).alias("lands"),
+    keys = [c for c in rows.columns if c not in ("name", "land")]
+    parts = F.split("line", "\t")
+    text = lambda i: F.when(parts[i] != "", parts[i])
+    said = with_line(rows.where(F.col("name").isNotNull()), "name", places).where("line NOT LIKE '\t%'").select(
+        *keys, F.coalesce("land", F.when(parts[4].rlike(r"^\S+$"), parts[4]), F.lit(NOWHERE)).alias("land"), parts[0].alias("core"), F.when(~parts[0].contains(" "), text(1)).alias("initial"), text(2).alias("given"), parts[3].alias("acts"), parts[4].alias("lands")
     )
-    return known.drop("line"), forms
+    label = F.concat_ws("|", "land", F.array_join(F.array_sort(F.split("core", " ")), " "), F.coalesce("initial", F.lit("")))
+    known = durable(said.withColumn("form", F.xxhash64(label)))
+    forms = known.groupBy("form").agg(F.first("land").alias("land"), F.min("core").alias("core"), F.first("initial").alias("initial"), F.min("given").alias("given"), *[F.array_join(F.collect_set(c), " ").alias(c) for c in ("acts", "lands")])
+    return known.select(*keys, "form"), forms
+
+
+def words(name: str) -> Column:
+    """The distinct words of a text of words."""
+    return F.array_distinct(F.filter(F.split(name, " "), lambda x: x != ""))
 
 
-def close_pairs(forms: DataFrame, kind: str, lands: list[str], index=segment_index) -> DataFrame:
-    """(a, b, bits): forms a (probe) and b (index) of one land whose strings are within the edits allowed.
+def close_pairs(forms: DataFrame, lands: list[str], keyed=segment_keys) -> DataFrame:
+    """(kind, a, b, at, bits): forms a (probe) and b (index) of one land whose strings are within the edits allowed.
 
-    A form without land probes every land in which its general words are usual, else every land there is.
+    A form without land probes every land in which its general words are usual, else every land there is; `at` is
+    the land where it was found, null for forms that have one.
     """
-    second = "given" if kind == "person" else "initial"
     every = F.array(*[F.lit(x) for x in lands])
     free = F.col("land") == NOWHERE
-    probed = forms.withColumn("in", F.explode(F.when(free, F.array_append(F.when(F.size("lands") > 0, F.array_intersect("lands", every)).otherwise(every), NOWHERE)).otherwise(F.array("land"))))
-    left = probed.select(F.col("form").alias("a"), (F.col("land") == NOWHERE).alias("free"), "in", F.explode(index(kind, "probe")("core", second)).alias("k")).select("a", "free", F.substring_index("k", "\t", -1).alias("s"), F.xxhash64("in", F.substring_index("k", "\t", 1)).alias("h"))
-    right = forms.select(F.col("form").alias("b"), F.col("land").alias("in"), F.explode(index(kind, "index")("core", second)).alias("k")).select("b", F.substring_index("k", "\t", -1).alias("t"), F.xxhash64("in", F.substring_index("k", "\t", 1)).alias("h"))
-    near = left.join(right, "h").where("a <> b AND (free OR a < b OR t LIKE '% % %')" if kind == "full" and index.symmetric else "a <> b")  # rotations of three words differ by direction
-    if kind == "full":  # all rotations have one length
-        near = near.where(F.abs(F.length("s") - F.length(F.substring_index("t", " ", 1))) <= 2)
+    usual = words("lands")
+    where = F.when(free, F.array_append(F.when(F.size(usual) > 0, F.array_intersect(usual, every)).otherwise(every), F.lit(NOWHERE))).otherwise(F.array("land"))
+    text = ["core", "initial", "given"]
+    probes = forms.select(F.col("form").alias("a"), *text, "land", F.explode(where).alias("in"), (free | (F.size(F.split("core", " ")) > 2)).alias("open"))
+    left = keyed(probes, "probe").select("h", "kind", "a", "open", F.when(free, F.col("in")).alias("at"), F.concat_ws("|", F.nullif("p", F.lit("")), "r").alias("s"))
+    right = keyed(forms.select(F.col("form").alias("b"), *text, F.col("land").alias("in")), "index").select("h", "b", F.concat_ws("|", F.nullif("p", F.lit("")), "r").alias("t"))
+    # strings of one length in both orders find each other twice
+    near = left.join(right, "h").where("a <> b AND (open OR a < b OR kind <> 'full' OR length(s) <> length(t))")
+    letters = lambda x: F.length(F.translate(x, "|_", ""))
 
     def verified(x: Column) -> Column:
         """Edits between s and one string of the index, null if they are too many."""
-        least, apart = F.least(F.length("s"), F.length(x)), F.levenshtein(F.col("s"), x, 2)
-        if kind == "full":
-            allowed = F.when(least >= 9, 2).when(least >= 5, 1).otherwise(0)
-            return F.when((apart >= 0) & (apart <= allowed), apart)
-        allowed = F.when(least >= 8, 2).when(least >= 6, 1).otherwise(0)
+        least, apart = F.least(letters(F.col("s")), letters(x)), F.levenshtein(F.col("s"), x, 2)
+        allowed = F.when(F.col("kind") == "full", F.when(least >= 9, 2).when(least >= 5, 1).otherwise(0)).otherwise(F.when(least >= 8, 2).when(least >= 6, 1).otherwise(0))
         swapped = F.array_sort(F.split("s", "")) == F.array_sort(F.split(x, ""))
-        return F.when((apart >= 0) & (apart <= allowed) & (F.right("s", F.lit(1)) == F.right(x, F.lit(1))) & ((apart < 2) | swapped), apart)
+        fair = (F.col("kind") == "full") | ((F.right("s", F.lit(1)) == F.right(x, F.lit(1))) & ((apart < 2) | swapped))
+        return F.when((apart >= 0) & (apart <= allowed) & fair, apart)
 
     t = F.col("t")
-    blanks = F.length(t) - F.length(F.replace(t, F.lit(" "), F.lit("")))
-    two = F.least(verified(F.substring_index(t, " ", 1)), verified(F.substring_index(t, " ", -1)))  # compiled; only names of three words and more need the loop
-    bits = F.when(blanks == 0, verified(t)).when(blanks == 1, two).otherwise(F.array_min(F.transform(F.split(t, " "), verified)))
-    pairs = near.select("a", "b", bits.alias("bits")).where("bits IS NOT NULL")
-    return pairs.groupBy("a", "b").agg(F.min("bits").alias("bits"))
+    bits = F.when(~t.contains(" "), verified(t)).otherwise(F.array_min(F.transform(F.split(t, " "), verified)))
+    return near.select("kind", "a", "b", "at", bits.alias("bits")).where("bits IS NOT NULL").groupBy("kind", "a", "b", "at").agg(F.min("bits").alias("bits"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -175,45 +144,43 @@ def components(edges: DataFrame) -> DataFrame:
         labels = nxt.select("node", F.col("new").alias("root"))
 
 
-def entities(rows: DataFrame, places: frozenset[str], index=segment_index) -> DataFrame:
-    """`rows` with `entity`, equal for the rows whose names are spellings of one name in one land.
+def entities(rows: DataFrame, places: frozenset[str], keyed=segment_keys) -> DataFrame:
+    """The key columns of `rows` with `entity`, equal for the rows whose names are spellings of one name in one land.
 
-    rows: key columns, then `name` and `land`. Rows without a distinctive word give no row. index: what finds
+    rows: key columns, then `name` and `land`. Rows without a distinctive word give no row. keyed: what finds
     the candidates, by default the segment index; every candidate is verified in the same way.
     """
     known, forms = forms_of(rows, places)
     forms = durable(forms)
     lands = sorted(r[0] for r in forms.select("land").distinct().collect() if r[0] != NOWHERE)  # countries: at most some 250
-    pairs = close_pairs(forms, "full", lands, index)
-    home = forms.select(F.col("form").alias("a"), F.col("land").alias("la")), forms.select(F.col("form").alias("b"), F.col("land").alias("lb"))
-    pairs = durable(pairs.join(home[0], "a").join(home[1], "b"))
-    fixed = pairs.where((F.col("la") != NOWHERE) | (F.col("lb") == NOWHERE))
+    pairs = durable(close_pairs(forms, lands, keyed))
+    full = pairs.where("kind = 'full'")
+    fixed = full.where(F.col("at").isNull() | (F.col("at") == NOWHERE))
     # a form without land goes with the land of its nearest forms, if that is one
-    loose = pairs.where((F.col("la") == NOWHERE) & (F.col("lb") != NOWHERE))
+    loose = full.where(F.col("at") != NOWHERE)
     nearest = loose.groupBy("a").agg(F.min("bits").alias("bits"))
     settled = loose.join(nearest, ["a", "bits"])
-    settled = settled.join(settled.groupBy("a").agg(F.count_distinct("lb").alias("n")).where("n = 1"), "a", "left_semi")
+    settled = settled.join(settled.groupBy("a").agg(F.count_distinct("at").alias("n")).where("n = 1"), "a", "left_semi")
     roots = components(fixed.select("a", "b").unionByName(settled.select("a", "b")))
-    rooted = durable(forms.join(roots, forms.form == roots.node, "left").select("form", "land", "core", "initial", "given", "acts", "lands", F.coalesce("root", "form").alias("entity")))
+    rooted = forms.select("form", "initial", words("acts").alias("acts")).join(roots, F.col("form") == F.col("node"), "left").select("form", "initial", "acts", F.coalesce("root", "form").alias("entity"))
     # abbreviated forms join the entity that is nearest, if that is one; with a full form whose activity differs they have nothing to do
-    short = close_pairs(rooted, "short", lands, index).unionByName(close_pairs(rooted, "person", lands, index))
-    a, b = rooted.select(F.col("form").alias("a"), F.col("acts").alias("acts_a"), F.col("entity").alias("own")), rooted.select(F.col("form").alias("b"), F.col("acts").alias("acts_b"), "entity", F.col("initial").alias("ib"))
-    short = short.join(a, "a").join(b, "b")
+    a, b = rooted.select(F.col("form").alias("a"), F.col("acts").alias("acts_a")), rooted.select(F.col("form").alias("b"), F.col("acts").alias("acts_b"), "entity", F.col("initial").alias("ib"))
+    short = pairs.where("kind <> 'full'").select("a", "b", "bits").join(a, "a").join(b, "b")
     alike = F.exists("acts_a", lambda x: F.exists("acts_b", lambda y: x.startswith(y) | y.startswith(x)))
     apart = (F.size("acts_a") > 0) & (F.size("acts_b") > 0) & ~alike
     # the same activity named counts more than none on one side
-    short = short.where(~apart).withColumn("rank", F.col("bits") * 2 + F.when(alike, 0).otherwise(1) + F.when(F.col("ib").isNull(), 0).otherwise(100))
-    best = short.groupBy("a").agg(F.min("rank").alias("rank"))
-    chosen = short.join(best, ["a", "rank"]).groupBy("a").agg(F.count_distinct("entity").alias("n"), F.min("entity").alias("to")).where("n = 1")
-    final = rooted.join(chosen.select(F.col("a").alias("form"), "to"), "form", "left").select("form", F.coalesce("to", "entity").alias("entity"))
+    ranked = short.where(~apart).select("a", "entity", (F.col("bits") * 2 + F.when(alike, 0).otherwise(1) + F.when(F.col("ib").isNull(), 0).otherwise(100)).alias("rank"))
+    each = ranked.groupBy("a", "entity").agg(F.min("rank").alias("rank")).groupBy("a", "rank").agg(F.count("*").alias("n"), F.min("entity").alias("to"))
+    chosen = each.groupBy("a").agg(F.min_by(F.struct("n", "to"), "rank").alias("x")).where("x.n = 1").select(F.col("a").alias("form"), "x.to")
+    final = rooted.select("form", "entity").join(chosen, "form", "left").select("form", F.coalesce("to", "entity").alias("entity"))
     return known.join(final, "form").drop("form")
 
 
 def variant_pairs(rows: DataFrame) -> DataFrame:
     """(row_id_a, row_id_b), a < b: rows of one `entity` whose names differ in letters or digits.
 
-    rows: row_id, entity, h1, h2 (the order-free hash of the name). The pairs are the result, so their number
+    rows: row_id, entity, h (the order-free hash of the name). The pairs are the result, so their number
     is not bounded by the rows; rows of one entity and one hash are no pairs and are never paired.
     """
-    a, b = rows.select("entity", F.col("row_id").alias("row_id_a"), F.col("h1").alias("x1"), F.col("h2").alias("x2")), rows.select("entity", F.col("row_id").alias("row_id_b"), F.col("h1").alias("y1"), F.col("h2").alias("y2"))
-    return a.join(b, "entity").where("row_id_a < row_id_b AND (x1 <> y1 OR x2 <> y2)").select("row_id_a", "row_id_b")
+    a, b = rows.select("entity", F.col("row_id").alias("row_id_a"), F.col("h").alias("x")), rows.select("entity", F.col("row_id").alias("row_id_b"), F.col("h").alias("y"))
+    return a.join(b, "entity").where("row_id_a < row_id_b AND x <> y").select("row_id_a", "row_id_b")
