@@ -3,34 +3,52 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows up to which a side of a join may be broadcast. At about 200 bytes a row this is 20 MB.
-BROADCAST_ROWS = 100_000
+#: Rows and bytes, as the optimizer knows them, up to which a side of a join may be broadcast.
+BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 64 << 20
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the session names in spark.checkpoint.dir.
+
+    Only where it names none on a single machine (tests) a temporary folder is set; on a cluster that is an error.
+    """
+    context = spark.sparkContext
+    folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("spark.checkpoint.dir names no folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="entwine-")
+        context.setCheckpointDir(folder)
+    return folder.rstrip("/")
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Write `df` to the shared checkpoint folder and go on from the files.
+    """Write `df` as a table in the shared folder and go on from its files; they go when the application ends.
 
-    The folder is the one the session names in spark.checkpoint.dir. Only where it names none
-    (tests on one machine) a temporary folder is set.
+    A table is compressed and read by column, which a checkpoint of rows is not, and as durable.
     """
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="entwine-"))
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(spark)}/entwine-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """`df` with a broadcast hint if it is proven to hold at most `rows` rows, else unchanged.
+    """`df` with a broadcast hint if it is proven to hold at most `rows` rows of BROADCAST_BYTES in all, else unchanged.
 
-    The proof reads no more than `rows` + 1 rows. Beyond the bound Spark shuffles both sides and
-    AQE splits skewed partitions, so the result is the same either way.
+    The proof reads no more than `rows` + 1 rows and adds up their texts. Beyond the bound Spark shuffles both
+    sides and AQE splits skewed partitions, so the result is the same either way.
     """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    size = sum((F.coalesce(F.length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 16 for c in df.columns), F.lit(0))
+    n, held = df.limit(rows + 1).agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
+    return F.broadcast(df) if n <= rows and held <= BROADCAST_BYTES else df
 
 
 def spread(df: DataFrame, least: int = 0) -> DataFrame:
