@@ -197,7 +197,7 @@ def test_hamming_index_finds_all_that_the_segment_index_finds(spark):
             changed[at] = rng.choice([c for c in "abcdefghijklmnoprstuvz" if c != w[at]])
         words += ["".join(changed), noisy(rng, w, edits(len(w)))]
     rows = [(i, "ES", w, None, None, "", "ES") for i, w in enumerate(dict.fromkeys(words))]
-    forms = spark.createDataFrame(rows, "form long, land string, core string, initial string, given string, acts string, lands string")
+    forms = spark.createDataFrame(rows, "id long, land string, core string, initial string, given string, acts string, lands string")
     text = {r[0]: r[2] for r in rows}
     found = [{tuple(sorted((r.a, r.b))) for r in variants.close_pairs(forms, ["ES"], keyed).collect()} for keyed in (variants.segment_keys, linkage.hamming_keys)]
     want = {(a, b) for a, b in combinations(sorted(text), 2) if lev(text[a], text[b]) <= edits(min(len(text[a]), len(text[b])))}
