@@ -20,8 +20,8 @@ NOWHERE = "??"
 ALLOWED = {"full": "CASE WHEN {n} >= 9 THEN 2 WHEN {n} >= 5 THEN 1 ELSE 0 END", "short": "CASE WHEN {n} >= 8 THEN 2 WHEN {n} >= 6 THEN 1 ELSE 0 END"}
 
 
-def texts_of(side: str, mark: str = "") -> Column:
-    """The strings that stand for a form (core, initial, given, each with `mark`) on one side of the index, as array of (kind, p, r).
+def texts_of(side: str) -> Column:
+    """The strings that stand for a form (core, initial, given) on one side of the index, as array of (kind, p, r).
 
     full: all words in any order. Two words stand in the index in both orders. Of more words two hold all edits in
     some pair of orders, so each choice of two (r) is keyed together with the others as they are (p); the words of
@@ -29,7 +29,7 @@ def texts_of(side: str, mark: str = "") -> Column:
     short: a word with the initial of the other. person: a surname with the given name, where the form names two
     surnames or that one only.
     """
-    core, initial, given = (F.col(c + mark) for c in ("core", "initial", "given"))
+    core, initial, given = map(F.col, ("core", "initial", "given"))
     w, n, both = F.split(core, " "), F.size(F.split(core, " ")), side == "index"
     entry = lambda kind, p, r: F.struct(F.lit(kind).alias("kind"), p.alias("p"), r.alias("r"))
     full = lambda r: entry("full", F.lit(""), r)
@@ -54,24 +54,34 @@ def segment_keys(forms: DataFrame, side: str) -> DataFrame:
     A string of n letters with k edits is cut into k+1 segments as even as possible, the longer ones last. Index:
     its own segments. Probe: for each length that k edits allow, the substrings at the places to which i edits
     before and k-i after can shift segment i. Edits go by the shorter string of a pair, for `full` always the one
-    in the index.
+    in the index. The keys are written out for each k, so that they are compiled.
     """
     kept = [c for c in forms.columns if c not in ("core", "initial", "given", "in")]
-    each = forms.withColumn("t", F.explode(texts_of(side))).select(*kept, "t.kind", "t.r", F.concat("t.p", "t.r").alias("text"), F.xxhash64("t.kind", "in", "t.p").alias("base"), F.length(F.replace("t.p", F.lit("_"), F.lit(""))).alias("m"))
+    text = F.concat(F.left("t.kind", F.lit(1)), F.when(F.col("t.p") != "", F.concat("t.p", F.lit("|"))).otherwise(""), "t.r")
+    each = forms.withColumn("t", F.explode(texts_of(side))).select(*kept, "t.kind", "t.r", text.alias("text"), F.xxhash64("t.kind", "in", "t.p").alias("base"), F.length(F.replace("t.p", F.lit("_"), F.lit(""))).alias("m"))
     each = each.withColumn("n", F.length("r"))
     allowed = lambda n: f"IF(kind = 'full', {ALLOWED['full'].format(n=f'({n} + m)')}, {ALLOWED['short'].format(n=n)})"
-    size = lambda i, n, k: f"CAST({n} DIV ({k} + 1) + IF({i} >= {k} + 1 - {n} % ({k} + 1), 1, 0) AS INT)"
-    start = lambda i, n, k: f"CAST({i} * ({n} DIV ({k} + 1)) + greatest(0, {i} - ({k} + 1 - {n} % ({k} + 1))) AS INT)"
-    key = lambda n, i, text: f"xxhash64(base, {n} * 4 + {i}, {text})"
-    if side == "index":
-        keys = f"transform(sequence(0, k), i -> {key('n', 'i', f'substring(r, {start('i', 'n', 'k')} + 1, {size('i', 'n', 'k')})')})"
-        each = each.withColumn("k", F.expr(allowed("n")))
-    else:
-        lengths = f"filter(transform(sequence(greatest(1, n - 2), IF(kind = 'full', n, n + 1)), l -> struct(l AS l, {allowed('l')} AS k)), x -> abs(x.l - n) <= x.k)"
-        cuts = f"flatten(transform({lengths}, x -> transform(sequence(0, x.k), i -> struct(x.l AS l, x.k AS k, i AS i, {start('i', 'x.l', 'x.k')} AS at, {size('i', 'x.l', 'x.k')} AS z))))"
-        first, last = "greatest(0, c.at - c.i, c.at + n - c.l - (c.k - c.i))", "least(n - c.z, c.at + c.i, c.at + n - c.l + c.k - c.i)"
-        keys = f"flatten(transform({cuts}, c -> IF({first} <= {last}, transform(sequence({first}, {last}), q -> {key('c.l', 'c.i', 'substring(r, q + 1, c.z)')}), array())))"
-    return each.select(*kept, "kind", "text", F.explode(F.expr(keys)).alias("h"))
+
+    def key(k: int, i: int, longer: int, shift: int) -> str:
+        """Segment i of a string `longer` letters shorter than r, looked for in r `shift` letters further on; null where r does not reach."""
+        n, own = f"(n - {longer})", f"(n - {longer}) DIV {k + 1}"
+        left = f"(n - {longer}) % {k + 1}"  # so many segments, the last ones, have a letter more
+        size = f"CAST({own} + IF({left} >= {k + 1 - i}, 1, 0) AS INT)"
+        at = f"CAST({i} * ({own}) + greatest(0, {left} - {k + 1 - i}) + {shift} AS INT)"
+        found = f"xxhash64(base, {n} * 4 + {i}, substring(r, {at} + 1, {size}))"
+        return found if not longer and not shift else f"IF({n} > 0 AND {at} >= 0 AND {at} + {size} <= n, {found}, NULL)"
+
+    def listed(longer: int) -> str:
+        """The keys for strings `longer` letters shorter, by their k."""
+        cases = ""
+        for k in (2, 1, 0):
+            if abs(longer) <= k:
+                shifts = [(i, s) for i in range(k + 1) for s in ((0,) if side == "index" else range(max(-i, longer - (k - i)), min(i, longer + k - i) + 1))]
+                cases += f" WHEN {k} THEN array({', '.join(key(k, i, longer, s) for i, s in shifts)})"
+        return f"CASE {allowed(f'(n - {longer})')}{cases} ELSE CAST(array() AS array<bigint>) END"
+
+    keys = listed(0) if side == "index" else f"concat({listed(0)}, {listed(1)}, {listed(2)}, IF(kind = 'full', CAST(array() AS array<bigint>), {listed(-1)}))"
+    return each.select(*kept, "kind", "text", F.explode(F.expr(keys)).alias("h")).where("h IS NOT NULL")
 
 
 def forms_of(rows: DataFrame, places: frozenset[str]) -> tuple[DataFrame, DataFrame]:
@@ -98,60 +108,38 @@ def words(name: str) -> Column:
     return F.array_distinct(F.filter(F.split(name, " "), lambda x: x != ""))
 
 
-def keyed_letters(keys: DataFrame, name: str) -> DataFrame:
-    """(h, name, m): keys of 48 bits, ids, and the letters of the text as bits with the kind in the lowest two, for cheap rows to shuffle."""
-    letters = "aggregate(split(text, ''), 0, (x, c) -> x | shiftleft(1, ascii(c) % 32))"
-    kind = F.when(F.col("kind") == "full", 0).when(F.col("kind") == "short", 1).otherwise(2)
-    return keys.select(F.shiftrightunsigned("h", 16).alias("h"), name, (F.expr(letters).cast("long") * 4 + kind).alias("m"))
-
-
-def verified(pairs: DataFrame) -> Column:
-    """Edits between the strings of two forms (core, initial, given of both with _a and _b), null if they are too many."""
-
-    def near(x: Column, y: Column) -> Column:
-        least, apart = F.least(F.length(x), F.length(y)), F.levenshtein(x, y, 2)
-        full = F.when(least >= 9, 2).when(least >= 5, 1).otherwise(0)
-        short = F.when(least >= 8, 2).when(least >= 6, 1).otherwise(0)
-        swapped = F.array_sort(F.split(x, "")) == F.array_sort(F.split(y, ""))
-        fair = F.when(F.col("kind") == 0, apart <= full).otherwise((apart <= short) & (F.right(x, F.lit(1)) == F.right(y, F.lit(1))) & ((apart < 2) | swapped))
-        return F.when((apart >= 0) & fair, apart)
-
-    glued = lambda c: F.replace(c, F.lit(" "), F.lit(""))
-    at = lambda c, i: F.substring_index(c, " ", 1 if i == 0 else -1)
-    turned = lambda c: F.concat(at(c, 1), at(c, 0))
-    blanks = lambda c: F.length(c) - F.length(glued(c))
-    a, b = F.col("core_a"), F.col("core_b")
-    two = F.least(near(glued(a), glued(b)), F.when(blanks(b) == 1, near(glued(a), turned(b))))
-    probe, index = texts_of("probe", "_a"), texts_of("index", "_b")
-    # of longer names, those of the strings that have the other words as they are
-    plain = lambda t: F.concat(F.replace(t["p"], F.lit("_"), F.lit("")), t["r"])
-    more = F.array_min(F.flatten(F.transform(F.filter(probe, lambda x: x["kind"] == "full"), lambda x: F.transform(F.filter(index, lambda y: (y["kind"] == "full") & (y["p"] == x["p"])), lambda y: near(plain(x), plain(y))))))
-    said = F.concat(a, "initial_a")
-    short = F.when(F.col("initial_b").isNotNull(), near(said, F.concat(b, "initial_b"))).otherwise(F.least(near(said, F.concat(at(b, 0), F.left(at(b, 1), F.lit(1)))), near(said, F.concat(at(b, 1), F.left(at(b, 0), F.lit(1))))))
-    person = near(F.concat(at(a, 0), "given_a"), F.concat(at(b, 0), "given_b"))
-    return F.when(F.col("kind") == 1, short).when(F.col("kind") == 2, person).when((blanks(a) <= 1) & (blanks(b) <= 1), two).otherwise(more)
+def verified(s: Column, t: Column) -> Column:
+    """Edits between two texts of segment_keys(), null if they are too many, or of different kinds."""
+    letters = lambda x: F.length(F.translate(x, "|_", "")) - 1
+    least, apart, kind = F.least(letters(s), letters(t)), F.levenshtein(s, t, 2), F.left(s, F.lit(1))
+    full = F.when(least >= 9, 2).when(least >= 5, 1).otherwise(0)
+    short = F.when(least >= 8, 2).when(least >= 6, 1).otherwise(0)
+    swapped = F.array_sort(F.split(s, "")) == F.array_sort(F.split(t, ""))
+    fair = F.when(kind == "f", apart <= full).otherwise((apart <= short) & (F.right(s, F.lit(1)) == F.right(t, F.lit(1))) & ((apart < 2) | swapped))
+    return F.when((apart >= 0) & (kind == F.left(t, F.lit(1))) & fair, apart)
 
 
 def close_pairs(forms: DataFrame, lands: list[str], keyed=segment_keys) -> DataFrame:
     """(kind, a, b, at, bits): forms a (probe) and b (index) of one land whose strings are within the edits allowed.
 
-    kind is 0 for names in full, 1 for a word with an initial, 2 for a surname with a given name. A form without land
+    kind is f for names in full, s for a word with an initial, p for a surname with a given name. A form without land
     probes every land in which its general words are usual, else every land there is; `at` is the land where it was
-    found, null for forms that have one. Only ids and letters go through the join of the keys; pairs whose letters
-    differ in more than two edits allow are dropped there, the rest meet their strings and are verified.
+    found, null for forms that have one. Keys of 48 bits and short ids keep the rows of the join small.
     """
     every = F.array(*[F.lit(x) for x in lands])
     free = F.col("land") == NOWHERE
     usual = words("lands")
     where = F.when(free, F.array_append(F.when(F.size(usual) > 0, F.array_intersect(usual, every)).otherwise(every), F.lit(NOWHERE))).otherwise(F.array("land"))
-    text = ["core", "initial", "given"]
-    left = keyed_letters(keyed(forms.select(F.col("id").alias("a"), *text, F.explode(where).alias("in")), "probe"), "a")
-    right = keyed_letters(keyed(forms.select(F.col("id").alias("b"), *text, F.col("land").alias("in")), "index"), "b").withColumnRenamed("m", "mb")
-    near = left.join(right, "h").where("a <> b AND bit_count(m ^ mb) <= 4").select((F.col("m") % 4).cast("int").alias("kind"), "a", "b").distinct()
-    side = lambda x: forms.select(F.col("id").alias(x), "land", *text).select(x, *[F.col(c).alias(f"{c}_{x}") for c in ("land", *text)])
-    pairs = near.join(side("a"), "a").join(side("b"), "b")
-    at = F.when(F.col("land_a") == NOWHERE, F.col("land_b"))
-    return pairs.select("kind", "a", "b", at.alias("at"), verified(pairs).alias("bits")).where("bits IS NOT NULL")
+    columns = ["core", "initial", "given"]
+    probes = forms.withColumn("in", F.explode(where)).select(F.col("id").alias("a"), *columns, "in", F.when(free, F.col("in")).alias("at"), (free | (F.size(F.split("core", " ")) > 2)).alias("open"))
+    short = F.shiftrightunsigned("h", 16).alias("h")
+    left = keyed(probes, "probe").select(short, "a", "at", "open", F.col("text").alias("s"))
+    right = keyed(forms.select(F.col("id").alias("b"), *columns, F.col("land").alias("in")), "index").select(short, "b", F.col("text").alias("t"))
+    # strings of one length in both orders find each other twice
+    near = left.join(right, "h").where("a <> b AND (open OR a < b OR length(s) <> length(t) OR left(s, 1) <> 'f')")
+    s, t = F.col("s"), F.col("t")
+    bits = F.when(~t.contains(" "), verified(s, t)).otherwise(F.array_min(F.transform(F.split(t, " "), lambda x: verified(s, x))))
+    return near.select(F.left("s", F.lit(1)).alias("kind"), "a", "b", "at", bits.alias("bits")).where("bits IS NOT NULL").groupBy("kind", "a", "b", "at").agg(F.min("bits").alias("bits"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -182,7 +170,7 @@ def entities(rows: DataFrame, places: frozenset[str], keyed=segment_keys) -> Dat
     forms = durable(forms.withColumn("id", F.monotonically_increasing_id()))  # short ids cost less to shuffle than hashes
     lands = sorted(r[0] for r in forms.select("land").distinct().collect() if r[0] != NOWHERE)  # countries: at most some 250
     pairs = durable(close_pairs(forms, lands, keyed))
-    full = pairs.where("kind = 0")
+    full = pairs.where("kind = 'f'")
     fixed = full.where(F.col("at").isNull() | (F.col("at") == NOWHERE))
     # a form without land goes with the land of its nearest forms, if that is one
     loose = full.where(F.col("at") != NOWHERE)
@@ -193,7 +181,7 @@ def entities(rows: DataFrame, places: frozenset[str], keyed=segment_keys) -> Dat
     rooted = forms.select("form", "id", "initial", words("acts").alias("acts")).join(roots, F.col("id") == F.col("node"), "left").select("form", "id", "initial", "acts", F.coalesce("root", "id").alias("entity"))
     # abbreviated forms join the entity that is nearest, if that is one; with a full form whose activity differs they have nothing to do
     a, b = rooted.select(F.col("id").alias("a"), F.col("acts").alias("acts_a")), rooted.select(F.col("id").alias("b"), F.col("acts").alias("acts_b"), "entity", F.col("initial").alias("ib"))
-    short = pairs.where("kind > 0").select("a", "b", "bits").join(a, "a").join(b, "b")
+    short = pairs.where("kind <> 'f'").select("a", "b", "bits").join(a, "a").join(b, "b")
     alike = F.exists("acts_a", lambda x: F.exists("acts_b", lambda y: x.startswith(y) | y.startswith(x)))
     apart = (F.size("acts_a") > 0) & (F.size("acts_b") > 0) & ~alike
     # the same activity named counts more than none on one side
