@@ -87,21 +87,33 @@ def score(name: str):
     return scored
 
 
-def sorted_tokens(x: Column) -> Column:
-    return F.array_join(F.array_sort(F.filter(F.split(x, " "), lambda t: t != "")), " ")
+def scores_sql(pairs: str, near: bool = False) -> str:
+    """CTEs for SQL: `pairs` is the name of one with columns a and b; the last, `scores`, holds a, b and every ratio of this module.
 
-
-def may_reach(a: Column, b: Column, least: float = 92.0) -> Column:
-    """Whether weighted_ratio can be `least` (over 90) or more; native, and true for every pair that reaches it.
-
-    Lengths must be within 1.5. Then the plain ratio bounds the edits, the ratio of sorted tokens likewise,
-    and a token set reaches it only with a token in common and little beside.
+    Common subsequences are counted as in common_length(), with texts of up to 126 letters. near: partial ratios only
+    where the weighted ratio needs them, for lengths that differ by half.
     """
-    n, m = F.length(a), F.length(b)
-    edits = lambda share: F.ceil((n + m) * (1.0 - share / 100.0)).cast("int")
-    near = F.levenshtein(a, b) <= edits(least)
-    turned = F.levenshtein(sorted_tokens(a), sorted_tokens(b)) <= edits(least / 0.95)
-    x, y = F.array_distinct(F.split(a, " ")), F.array_distinct(F.split(b, " "))
-    rest = lambda p, q: F.length(F.array_join(F.array_except(p, q), " "))
-    sets = F.arrays_overlap(x, y) & ((F.least(rest(x, y), rest(y, x)) <= 4) | (F.levenshtein(F.array_join(F.array_sort(F.array_except(x, y)), " "), F.array_join(F.array_sort(F.array_except(y, x)), " ")) <= edits(least / 0.95)))
-    return (n > 0) & (m > 0) & (F.greatest(n, m) < 1.5 * F.least(n, m)) & (near | turned | sets)
+    sort = lambda x: f"array_to_string(list_sort(list_filter(string_split({x}, ' '), lambda t: t <> '')), ' ')"
+    ratio = lambda x, y, n: f"(CASE WHEN length({x}) + length({y}) = 0 THEN 100.0 ELSE 200.0 * {n} / (length({x}) + length({y})) END)"
+    mask = "CASE WHEN substring(x, i, 1) = c THEN 1::HUGEINT << (i - 1)::INT ELSE 0::HUGEINT END"
+    far = "AND greatest(length(a), length(b)) >= 1.5 * least(length(a), length(b))" if near else ""
+    ends = lambda x, y: f"CASE WHEN length({x}) > length({y}) THEN {y} ELSE {x} END, CASE WHEN length({x}) > length({y}) THEN {x} ELSE {y} END"
+    fold = "((r + (r & s)) | (r - (r & s))) & fu"
+    return f"""
+w AS (SELECT a, b, {sort('a')} AS sa, {sort('b')} AS sb, list_distinct(list_filter(string_split(a, ' '), lambda t: t <> '')) AS ta, list_distinct(list_filter(string_split(b, ' '), lambda t: t <> '')) AS tb FROM (SELECT DISTINCT a, b FROM {pairs} WHERE a <> '' AND b <> '')),
+v AS (SELECT *, array_to_string(list_sort(list_filter(ta, lambda t: list_contains(tb, t))), ' ') AS held, array_to_string(list_sort(list_filter(ta, lambda t: NOT list_contains(tb, t))), ' ') AS la, array_to_string(list_sort(list_filter(tb, lambda t: NOT list_contains(ta, t))), ' ') AS lb FROM w),
+part_of AS (SELECT DISTINCT CASE WHEN length(x) > length(y) THEN y ELSE x END AS x, CASE WHEN length(x) > length(y) THEN x ELSE y END AS y FROM (SELECT a AS x, b AS y FROM v WHERE true {far} UNION SELECT sa, sb FROM v WHERE held = '' {far} UNION SELECT la, lb FROM v WHERE held = '' {far})),
+windows AS (SELECT x, y, unnest(list_distinct(list_transform(range(1 - length(x), length(y)), lambda i: substring(y, greatest(1, i + 1)::INT, (length(x) + least(0, i))::INT)))) AS part FROM part_of),
+need AS (SELECT a AS x, b AS y FROM v UNION SELECT sa, sb FROM v UNION SELECT la, lb FROM v UNION SELECT x, part FROM windows WHERE part <> ''),
+masks AS (SELECT x, map_from_entries(list_transform(list_distinct(string_split(x, '')), lambda c: {{'k': c, 'v': list_reduce(list_transform(range(1, length(x) + 1), lambda i: {mask}), lambda p, q: p | q)}})) AS m FROM (SELECT DISTINCT x FROM need WHERE x <> '')),
+steps AS (SELECT need.x, y, list_transform(string_split(y, ''), lambda c: coalesce(m[c], 0::HUGEINT)) AS st, (1::HUGEINT << length(need.x)::INT) - 1 AS fu FROM need JOIN masks ON need.x = masks.x WHERE y <> ''),
+common AS (SELECT x, y, length(x) - bit_count(list_reduce(st, lambda r, s: {fold}, fu)) AS n FROM steps),
+best_part AS (SELECT windows.x, windows.y, max({ratio('windows.x', 'part', 'n')}) AS r FROM windows JOIN common ON common.x = windows.x AND common.y = part GROUP BY ALL),
+ratios AS (SELECT v.*, {ratio('a', 'b', 'c1.n')} AS ratio, {ratio('sa', 'sb', 'c2.n')} AS token_sort_ratio, {ratio('la', 'lb', 'coalesce(c3.n, 0)')} AS rest, coalesce(c3.n, 0) AS cr,
+  length(held) AS nb, length(held) + length(la) + (held <> '' AND la <> '')::INT AS n1, length(held) + length(lb) + (held <> '' AND lb <> '')::INT AS n2, p1.r AS p1, coalesce(p2.r, 0) AS p2, coalesce(p3.r, 0) AS p3
+  FROM v JOIN common c1 ON c1.x = a AND c1.y = b JOIN common c2 ON c2.x = sa AND c2.y = sb LEFT JOIN common c3 ON c3.x = la AND c3.y = lb
+  LEFT JOIN best_part p1 ON (p1.x, p1.y) = ({ends('a', 'b')}) LEFT JOIN best_part p2 ON held = '' AND (p2.x, p2.y) = ({ends('sa', 'sb')}) LEFT JOIN best_part p3 ON held = '' AND (p3.x, p3.y) = ({ends('la', 'lb')})),
+kinds AS (SELECT *, CASE WHEN held <> '' AND (la = '' OR lb = '') THEN 100.0 ELSE greatest(200.0 * (nb + (held <> '' AND la <> '' AND lb <> '')::INT + cr) / (n1 + n2), CASE WHEN held <> '' THEN greatest(200.0 * nb / (nb + n1), 200.0 * nb / (nb + n2)) ELSE 0 END) END AS token_set_ratio,
+  p1 AS partial_ratio, CASE WHEN held <> '' THEN 100.0 ELSE greatest(p2, p3) END AS partial_token_ratio, greatest(length(a), length(b)) / least(length(a), length(b)) AS longer FROM ratios),
+scores AS (SELECT a, b, round(ratio, 6) AS ratio, round(token_sort_ratio, 6) AS token_sort_ratio, round(token_set_ratio, 6) AS token_set_ratio, round(partial_ratio, 6) AS partial_ratio, round(partial_token_ratio, 6) AS partial_token_ratio,
+  round(CASE WHEN longer < 1.5 THEN greatest(ratio, 0.95 * token_sort_ratio, 0.95 * token_set_ratio) ELSE greatest(ratio, CASE WHEN longer <= 8 THEN 0.9 ELSE 0.6 END * partial_ratio, 0.95 * CASE WHEN longer <= 8 THEN 0.9 ELSE 0.6 END * partial_token_ratio) END, 6) AS weighted_ratio FROM kinds)"""

@@ -138,11 +138,22 @@ def too_generic(normal: Column) -> Column:
 
 
 def chosen_tokens(x: Column, k: int = 2) -> Column:
-    """The k longest words of at least four letters that are not generic, ties by alphabet."""
-    words = F.array_distinct(F.filter(F.regexp_extract_all(F.lower(x), F.lit("[a-z0-9]+"), F.lit(0)), lambda t: (F.length(t) >= 4) & ~t.isin(*V.GENERIC_TOKENS)))
+    """The k longest words of at least four ASCII letters or digits that are no stop words, ties by alphabet."""
+    words = F.array_distinct(F.filter(F.regexp_extract_all(F.lower(x), F.lit("[a-z0-9]+"), F.lit(0)), lambda t: (F.length(t) >= 4) & ~t.isin(*V.STOP_TOKENS)))
     return F.transform(F.slice(F.array_sort(F.transform(words, lambda t: F.struct((-F.length(t)).alias("n"), t.alias("t")))), 1, k), lambda s: s.t)
 
 
+def chosen_tokens_sql(x: str, k: int = 2) -> str:
+    stop = ", ".join(map(quoted, V.STOP_TOKENS))
+    words = f"list_distinct(list_filter(regexp_extract_all(lower({x}), '[a-z0-9]+'), lambda t: length(t) >= 4 AND t NOT IN ({stop})))"
+    return f"list_transform(list_sort(list_transform({words}, lambda t: {{'n': -length(t), 't': t}}))[1:{k}], lambda s: s.t)"
+
+
+def too_generic_sql(normal: str) -> str:
+    tokens = meaningful_tokens_sql(normal)
+    return f"(len({tokens}) = 0 OR (len({tokens}) = 1 AND length({tokens}[1]) < 8))"
+
+
 def contains_any(x: Column, words: tuple[str, ...]) -> Column:
     low, out = F.lower(F.coalesce(x, F.lit(""))), F.lit(False)
     for w in words:
@@ -169,6 +180,27 @@ def is_brand(x: Column, brands: tuple[str, ...] = V.SOCIAL_BRANDS, word_boundary
     return F.coalesce(x.rlike("(?iu)" + "|".join(edge + re.escape(b) + edge for b in brands)), F.lit(False)) if brands else F.lit(False)
 
 
+def edged_sql(x: str, body: str, word_boundary: bool = True) -> str:
+    """Whether one of the alternatives in `body` stands in x, between edges of words."""
+    before, after = (r"(?:^|[^\p{L}\p{N}_])", r"(?:$|[^\p{L}\p{N}_])") if word_boundary else ("", "")
+    return f"coalesce(regexp_matches({x}, {quoted('(?i)' + before + '(?:' + body + ')' + after)}), false)"
+
+
+def is_commercial_sql(x: str) -> str:
+    """A form that ends in a dot has no edge of a word behind it unless a word follows, so the last dot stays out."""
+    forms = "|".join(f if f in V.WHOLE_FORMS else r"\.?\s*".join(f) for f in V.COMMERCIAL_FORMS)
+    return f"({edged_sql(x, forms)} OR coalesce(regexp_matches({x}, {quoted(dotted_form())}), false))"
+
+
+def dotted_form() -> str:
+    forms = "|".join(r"\.?\s*".join(f) for f in V.COMMERCIAL_FORMS if f not in V.WHOLE_FORMS)
+    return r"(?i)(?:^|[^\p{L}\p{N}_])(?:" + forms + r")\.[\p{L}\p{N}_]"
+
+
+def is_brand_sql(x: str, brands: tuple[str, ...] = V.SOCIAL_BRANDS, word_boundary: bool = True) -> str:
+    return edged_sql(x, "|".join(re.escape(b) for b in brands), word_boundary)
+
+
 def triggers(country: Column, name: Column) -> Column:
     """Categories of the country's name rules that the name meets, in their order."""
     land, text, out = F.upper(strip(F.coalesce(country, F.lit("")))), F.coalesce(name, F.lit("")), F.array().cast("array<string>")
@@ -216,6 +248,20 @@ def triggers_sql(country: str, name: str) -> str:
     return "CASE " + " ".join(cases) + " ELSE [] END"
 
 
+def classified_sql(country: str, name: str) -> dict[str, str]:
+    hit = triggers_sql(country, name)
+    bucket = "CASE t " + " ".join(f"WHEN '{t}' THEN '{b}'" for t, b in V.CATEGORIES.items()) + " END"
+    buckets = f"list_transform({hit}, lambda t: {bucket})"
+    yes = lambda x: f"CASE WHEN {x} THEN 'YES' ELSE 'NO' END"
+    return {
+        "name_coop_candidate": yes(f"list_contains({hit}, 'coop')"),
+        "name_marker_candidate": yes(f"len(list_filter({hit}, lambda t: t <> 'coop')) > 0"),
+        "name_candidate_reason": f"array_to_string(list_filter({buckets}, lambda b, i: list_position({buckets}, b) = i), ',')",
+        "name_candidate_trigger": f"array_to_string({hit}, ',')",
+        "social_economy_name_candidate": yes(f"len({hit}) > 0"),
+    }
+
+
 def legal_form(x: Column) -> Column:
     """The first of the form tokens in the upper-case name, without blanks."""
     out = F.lit(None).cast("string")

@@ -65,13 +65,16 @@ FILLED = ("website_hint", "business_summary", "sector")
 projection("filled_count", TRU, "row_id", lambda: ids.filled(*map(F.col, FILLED)), ids.filled_sql(*FILLED))
 
 
-@query("classify_names")
+FLAGS = ("name_coop_candidate", "name_marker_candidate", "name_candidate_reason", "name_candidate_trigger", "social_economy_name_candidate")
+
+
+@query("classify_names", "SELECT row_id, " + ", ".join(f"{x} AS {c}" for c, x in text.classified_sql("supplier_country", S).items()) + f", {text.is_commercial_sql(S)} AS commercial, {text.is_brand_sql(S)} AS brand, {text.too_generic_sql(text.name_for_matching_sql(S))} AS generic FROM suppliers")
 def classify_names(spark: SparkSession, folder: str) -> DataFrame:
     """Name flags, reasons and triggers of every supplier, with commercial form and brand."""
     return table(spark, folder, SUP).select("row_id", *text.classified(F.col("supplier_country"), F.col(S)), text.is_commercial(F.col(S)).alias("commercial"), text.is_brand(F.col(S)).alias("brand"), text.too_generic(text.name_for_matching(F.col(S))).alias("generic"))
 
 
-@query("choose_tokens")
+@query("choose_tokens", f"SELECT row_id, array_to_string({text.chosen_tokens_sql(text.name_for_resolving_sql(B))}, ' ') AS tokens FROM trusted_entities")
 def choose_tokens(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, TRU).select("row_id", F.array_join(text.chosen_tokens(text.name_for_resolving(F.col(B))), " ").alias("tokens"))
 
@@ -116,53 +119,131 @@ def block_counts(spark: SparkSession, folder: str) -> DataFrame:
     return known.unionByName(s.where("land = ''").join(m.groupBy("block").agg(F.sum("candidates").alias("candidates")), "block").select("s_key", "candidates"))
 
 
-@query("similarity_scores")
-def similarity_scores(spark: SparkSession, folder: str) -> DataFrame:
-    """All ratios between each register name and its normal form in the table."""
-    names = table(spark, folder, REG, "row_id", N, "entity_name_norm").select("row_id", text.name_for_matching(F.col(N)).alias("a"), F.coalesce("entity_name_norm", F.lit("")).alias("b"))
-    kinds = ("ratio", "token_sort_ratio", "token_set_ratio", "partial_ratio", "partial_token_ratio", "weighted_ratio")
-    return names.select("row_id", *[similarity.score(k)("a", "b").alias(k) for k in kinds])
+KINDS = ("ratio", "token_sort_ratio", "token_set_ratio", "partial_ratio", "partial_token_ratio", "weighted_ratio")
 
 
-@query("match_suppliers")
+@query("similarity_scores", f"""
+WITH p AS (SELECT row_id, {text.name_for_matching_sql(N)} AS a, coalesce(entity_name_norm, '') AS b FROM ei_registers_normalized),{similarity.scores_sql('p')}
+SELECT row_id, {", ".join(f"s.{k}" for k in KINDS)} FROM p JOIN scores s ON p.a = s.a AND p.b = s.b
+""")
+def similarity_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """All ratios between each register name and its normal form in the table, where both say something."""
+    names = table(spark, folder, REG, "row_id", N, "entity_name_norm").select("row_id", text.name_for_matching(F.col(N)).alias("a"), F.coalesce("entity_name_norm", F.lit("")).alias("b")).where("a <> '' AND b <> ''")
+    return names.select("row_id", *[similarity.score(k)("a", "b").alias(k) for k in KINDS])
+
+
+def cascade_sql(brand: str) -> str:
+    """The cascade; brand: whether a brand stands in the supplier's name `raw`."""
+    shared = f"len(list_filter({text.meaningful_tokens_sql('b.normal')}, lambda t: list_contains({text.meaningful_tokens_sql('b.m_normal')}, t))) >= 2"
+    apart = " OR ".join(f"({text.contains_any_sql('b.raw', x)} AND {text.contains_any_sql('m.m_name', y)})" for x, y in ((V.COOP_WORDS, V.ASSOC_WORDS), (V.ASSOC_WORDS, V.COOP_WORDS)))
+    return f"""
+WITH m AS (SELECT row_id AS m_key, entity_name AS m_name, ei_register_name AS m_register, upper({text.strip_sql('country')}) AS m_land, ccaa AS m_region, {text.name_for_matching_sql(N)} AS m_normal, {ids.tax_key_sql('tax_id_root')} AS m_tax, {ids.siren_sql('tax_id_root')} AS m_siren FROM ei_registers_normalized),
+f AS (SELECT row_id AS s_key, {S} AS raw, upper({text.strip_sql("coalesce(supplier_country, '')")}) AS land, {text.name_for_matching_sql(S)} AS normal, {ids.tax_key_sql('_c3')} AS tax_key, {ids.siren_sql('_c3')} AS siren, {", ".join(f"{x} AS {c}" for c, x in text.classified_sql('supplier_country', S).items())} FROM suppliers WHERE {S} IS NOT NULL AND {HEADER}),
+s AS (SELECT f.*, NOT {text.too_generic_sql('normal')} AND (NOT {text.is_commercial_sql('raw')} OR social_economy_name_candidate = 'YES' OR {brand}) AS by_name, t.m_key AS tax_hit, n.m_key AS siren_hit FROM f
+  LEFT JOIN (SELECT m_tax, min(m_key) AS m_key FROM m WHERE m_tax <> '' GROUP BY 1) t ON t.m_tax = f.tax_key LEFT JOIN (SELECT m_siren, min(m_key) AS m_key FROM m WHERE m_siren <> '' GROUP BY 1) n ON n.m_siren = f.siren),
+p AS (SELECT s_key, raw, normal, m_key, m_normal, normal AS a, m_normal AS b FROM s JOIN m ON m_normal <> '' AND substring(normal, 1, 8) = substring(m_normal, 1, 8) AND (land = '' OR land = m_land) WHERE by_name AND tax_hit IS NULL AND siren_hit IS NULL AND greatest(length(normal), length(m_normal)) < 1.5 * least(length(normal), length(m_normal))),{similarity.scores_sql('p', True)},
+b AS (SELECT p.*, c.weighted_ratio AS score FROM p JOIN scores c ON c.a = p.a AND c.b = p.b WHERE c.weighted_ratio >= 92 QUALIFY row_number() OVER (PARTITION BY s_key ORDER BY c.weighted_ratio DESC, m_key) = 1),
+z AS (SELECT b.s_key, b.m_key AS fuzzy_hit, least(99, floor(score)::INT) AS points FROM b JOIN m ON m.m_key = b.m_key WHERE NOT ({apart}) AND {shared})
+SELECT s.s_key, s.raw AS _supplier_raw_name, s.land AS supplier_country, {", ".join(f"s.{c}" for c in FLAGS)}, CASE WHEN m.m_key IS NOT NULL THEN 'YES' ELSE 'NO' END AS social_enterprise_supplier, m.m_register AS matched_register, m.m_name AS matched_entity_name,
+  CASE WHEN tax_hit IS NOT NULL THEN 'tax_id_exact' WHEN siren_hit IS NOT NULL THEN 'tax_id_siren_bridge' WHEN fuzzy_hit IS NOT NULL THEN 'name_fuzzy' END AS match_type, CASE WHEN tax_hit IS NOT NULL THEN 100 WHEN siren_hit IS NOT NULL THEN 98 ELSE points END::DOUBLE AS match_score, m.m_land AS match_country, m.m_region AS match_region
+FROM s LEFT JOIN z ON z.s_key = s.s_key LEFT JOIN m ON m.m_key = coalesce(tax_hit, siren_hit, fuzzy_hit)
+"""
+
+
+@query("match_suppliers", cascade_sql(text.is_brand_sql("raw")))
 def match_suppliers(spark: SparkSession, folder: str) -> DataFrame:
     """The whole cascade: one row per supplier."""
     return matching.match(supplier_side(spark, folder), register_side(spark, folder))
 
 
-@query("match_suppliers_trusted")
+LISTED = "publish_status IN ('published', 'draft', 'PUBLISHED', 'DRAFT')"
+
+
+@query("match_suppliers_trusted", cascade_sql(f"EXISTS (SELECT 1 FROM trusted_entities WHERE {LISTED} AND {text.strip_sql(B)} <> '' AND contains(lower(raw), lower({text.strip_sql(B)})))"))
 def match_suppliers_trusted(spark: SparkSession, folder: str) -> DataFrame:
-    """The cascade with the published brands of the roster as whitelist, joined by the normal name."""
-    trusted = table(spark, folder, TRU, B, "publish_status").where(F.col("publish_status").isin("published", "draft", "PUBLISHED", "DRAFT") & (F.length(F.trim(F.col(B))) > 0))
-    brands = trusted.select(text.name_for_matching(F.col(B)).alias("normal")).where("normal <> ''").distinct().withColumn("listed", F.lit(True))
-    sides = supplier_side(spark, folder).join(brands, "normal", "left")
-    whitelisted = sides.withColumn("by_name", F.col("by_name") | (F.coalesce("listed", F.lit(False)) & ~text.too_generic(F.col("normal")))).drop("listed")
-    return matching.match(whitelisted, register_side(spark, folder))
+    """The cascade with the roster's published and drafted brands as whitelist: names that contain one."""
+    brands = table(spark, folder, TRU, B, "publish_status").where(LISTED).select(B)
+    return matching.match(supplier_side(spark, folder, brands=brands, word_boundary=False), register_side(spark, folder))
 
 
 # Rosters.
+SITE = r"((?:https?://|www\.)?[a-z0-9-]+(?:\.[a-z0-9-]+)+/?)"
+
+
 def master_of(spark: SparkSession, folder: str) -> DataFrame:
-    return resolve.with_ids(table(spark, folder, REG)).withColumn("website", F.regexp_extract("se_recognition_evidence", r"((?:https?://|www\.)?[a-z0-9-]+(?:\.[a-z0-9-]+)+/?)", 1))
+    return resolve.with_ids(table(spark, folder, REG)).withColumn("website", F.regexp_extract("se_recognition_evidence", SITE, 1))
+
 
+ROSTER_SQL = f"r AS (SELECT row_id AS r_key, {text.name_for_resolving_sql(B)} AS normal, upper({text.strip_sql("coalesce(country_hint, '')")}) AS land, {ids.domain_sql('website_hint')} AS domain FROM trusted_entities)"
 
-@query("resolve_v1")
+
+def master_sql(name: str) -> str:
+    return f"m AS (SELECT row_id AS ord, {ids.entity_id_sql(*ID_COLUMNS)} AS id, entity_name AS name, {text.name_for_resolving_sql(name)} AS m_normal, upper({text.strip_sql("coalesce(country, '')")}) AS land, {ids.domain_sql(f"regexp_extract(se_recognition_evidence, '{SITE}', 1)")} AS domain FROM ei_registers_normalized)"
+
+
+def tops_sql(pairs: str, k: int = 5) -> str:
+    """CTEs scores, x (pairs with score and rank) and t (r_key, best, id, listed) for a CTE with r_key, ord, id, name, normal, m_normal."""
+    return f"""{similarity.scores_sql(pairs + '_ab', True)},
+x AS (SELECT q.*, coalesce(weighted_ratio, 0) AS score, row_number() OVER (PARTITION BY r_key ORDER BY coalesce(weighted_ratio, 0) DESC, ord) AS rank FROM {pairs} q LEFT JOIN scores ON scores.a = normal AND scores.b = m_normal WHERE m_normal <> ''),
+t AS (SELECT r_key, max(score) AS best, max(id) FILTER (WHERE rank = 1) AS id, string_agg(concat_ws('|', id, coalesce(name, ''), score::VARCHAR), '; ' ORDER BY rank) AS listed FROM x WHERE rank <= {k} GROUP BY 1)"""
+
+
+BY_DOMAIN = f"""
+WITH {ROSTER_SQL}, {master_sql(N)},
+d AS (SELECT land, domain, count(*) AS n, min_by(id, ord) AS lone FROM m WHERE domain <> '' GROUP BY ALL), c AS (SELECT land, count(*) AS in_land FROM m GROUP BY 1),
+k AS (SELECT r.*, n, lone, in_land, coalesce(n BETWEEN 1 AND 25, false) AS few FROM r LEFT JOIN d ON d.land = r.land AND d.domain = r.domain LEFT JOIN c ON c.land = r.land),
+q AS (SELECT k.r_key, k.normal, m.ord, m.id, m.name, m.m_normal FROM k JOIN m ON m.land = k.land AND (NOT k.few OR m.domain = k.domain) WHERE k.normal <> '' AND coalesce(n, 0) <> 1),
+q_ab AS (SELECT DISTINCT normal AS a, m_normal AS b FROM q),{tops_sql('q')},
+z AS (SELECT k.*, best, id, listed, CASE WHEN normal = '' AND domain = '' THEN 'empty' WHEN few AND n = 1 THEN 'domain_exact' WHEN few AND best >= 92 THEN 'domain+fuzzy' WHEN few THEN 'domain_ambiguous'
+  WHEN normal = '' OR in_land IS NULL THEN 'no_country_index' WHEN best IS NULL THEN 'no_candidates' WHEN best >= 92 THEN 'fuzzy_country' ELSE 'fuzzy_below_threshold' END AS how FROM k LEFT JOIN t ON t.r_key = k.r_key)
+"""
+
+
+@query("resolve_v1", BY_DOMAIN + """
+SELECT r_key, CASE WHEN how = 'domain_exact' THEN lone WHEN how IN ('domain+fuzzy', 'fuzzy_country') THEN id END AS entity_id, how AS match_method, CASE how WHEN 'domain_exact' THEN 100.0 WHEN 'domain_ambiguous' THEN coalesce(best, 0.0) ELSE best END::DOUBLE AS match_score,
+  CASE WHEN how IN ('empty', 'no_country_index') OR few THEN n ELSE in_land END::DOUBLE AS match_candidate_count, how NOT IN ('domain_exact', 'domain+fuzzy', 'fuzzy_country') AS needs_review, CASE WHEN how IN ('domain_ambiguous', 'fuzzy_below_threshold') THEN listed END AS candidates FROM z
+""")
 def resolve_v1(spark: SparkSession, folder: str) -> DataFrame:
     """Roster rows resolved by web domain, then by name within the country."""
     return resolve.resolve_by_domain(table(spark, folder, TRU), master_of(spark, folder), "website")
 
 
-@query("resolve_v2")
+@query("review_queue_v1", BY_DOMAIN + """
+SELECT r_key, how AS match_method, CASE how WHEN 'domain_ambiguous' THEN concat('Domain matched ', n, ' candidates; none cleared threshold 92') ELSE concat('Best score ', best::VARCHAR, ' below threshold 92') END AS notes, listed AS candidates FROM z WHERE how IN ('domain_ambiguous', 'fuzzy_below_threshold')
+""")
+def review_queue_v1(spark: SparkSession, folder: str) -> DataFrame:
+    return resolve.review_by_domain(resolve_v1(spark, folder))
+
+
+BY_BLOCKS = f"""
+WITH {ROSTER_SQL}, {master_sql('entity_name_norm')},
+k AS (SELECT *, {text.letters_prefix_sql('normal')} AS block, {text.chosen_tokens_sql('normal')} AS tokens FROM r WHERE land <> '' AND normal <> ''),
+g AS (SELECT *, {text.letters_prefix_sql('m_normal')} AS block FROM m),
+c AS (SELECT land, count(*) AS in_land FROM g GROUP BY 1), n AS (SELECT land, block, count(*) AS in_block FROM g WHERE block <> '' GROUP BY ALL),
+e AS (SELECT k.*, coalesce(in_block, 0) AS in_block FROM k LEFT JOIN n ON n.land = k.land AND n.block = k.block),
+q AS (SELECT e.r_key, e.normal, g.ord, g.id, g.name, g.m_normal FROM e JOIN g ON g.land = e.land AND ((g.block = e.block AND g.block <> '') OR (e.in_block < 50 AND (len(e.tokens) = 0 OR contains(g.m_normal, e.tokens[1]))))),
+u AS (SELECT r_key, count(*) AS candidates FROM q GROUP BY 1),
+q_ab AS (SELECT DISTINCT normal AS a, m_normal AS b FROM q),{tops_sql('q')},
+z AS (SELECT r.*, candidates, in_land, best, id, listed, CASE WHEN r.land = '' OR r.normal = '' THEN 'missing_country_or_name' WHEN in_land IS NULL THEN 'no_master_for_country' WHEN candidates IS NULL THEN 'no_candidates' WHEN best IS NULL THEN 'no_match'
+  WHEN best >= 92 THEN 'fuzzy_blocked' ELSE 'below_threshold' END AS how FROM r LEFT JOIN c ON c.land = r.land LEFT JOIN u ON u.r_key = r.r_key LEFT JOIN t ON t.r_key = r.r_key)
+"""
+
+
+@query("resolve_v2", BY_BLOCKS + """
+SELECT r_key, CASE WHEN how = 'fuzzy_blocked' THEN id END AS entity_id, how AS match_method, best AS match_score, CASE WHEN how NOT IN ('missing_country_or_name', 'no_master_for_country') THEN coalesce(candidates, 0) END::DOUBLE AS candidate_count, how <> 'fuzzy_blocked' AS needs_review,
+  CASE WHEN how = 'below_threshold' THEN best END AS best_score, CASE WHEN how = 'below_threshold' THEN listed END AS top_candidates FROM z
+""")
 def resolve_v2(spark: SparkSession, folder: str) -> DataFrame:
     """Roster rows resolved by blocks of country and first letters, widened by tokens."""
     return resolve.resolve_by_blocks(table(spark, folder, TRU), master_of(spark, folder))
 
 
-@query("review_queue_v2")
+@query("review_queue_v2", BY_BLOCKS + "SELECT r_key, NULL::VARCHAR AS notes, best AS best_score, listed AS top_candidates FROM z WHERE how = 'below_threshold'")
 def review_queue_v2(spark: SparkSession, folder: str) -> DataFrame:
-    return resolve_v2(spark, folder).where("needs_review").select("r_key", F.col("match_method").alias("notes"), "best_score", "top_candidates")
+    return resolve.review_by_blocks(resolve_v2(spark, folder))
 
 
-@query("resolve_rate")
+@query("resolve_rate", BY_BLOCKS + "SELECT count(*) FILTER (WHERE how = 'fuzzy_blocked') AS resolved, count(*) AS total FROM z")
 def resolve_rate(spark: SparkSession, folder: str) -> DataFrame:
     return resolve_v2(spark, folder).agg(F.count_if(~F.col("needs_review")).alias("resolved"), F.count("*").alias("total"))
 

@@ -75,18 +75,26 @@ def test_scores_hold_their_bounds(a, b):
         assert score <= 90
 
 
-def test_prefilter_loses_no_match(spark):
+def test_nearest_against_brute_force(spark):
     import random
 
+    from entwine.operators.nearest import nearest
+
     rng = random.Random(5)
-    pool = ["acme", "solidaire", "lyon", "taller", "norte", "sur", "verde", "limpieza"]
-    rows = []
-    for _ in range(400):
-        a = " ".join(rng.sample(pool, rng.randint(2, 5)))
-        b = list(a)
-        for _ in range(rng.randint(0, 3)):
-            b[rng.randrange(len(b))] = rng.choice("abcdexyz ")
-        rows.append((a, " ".join("".join(b).split())))
-    df = spark.createDataFrame(rows, "a string, b string")
-    for r in df.select("a", "b", similarity.may_reach(F.col("a"), F.col("b")).alias("may")).collect():
-        assert r.may or similarity.weighted_ratio(r.a, r.b) < 92, r
+    pool = ["acme", "solidaire", "lyon", "taller", "norte", "sur", "verde", "limpieza", "ñandú", "x"]
+    name = lambda: " ".join(rng.choice(pool)[: rng.randint(1, 9)] for _ in range(rng.randint(1, 5)))
+    targets = [(g, name(), i) for i in range(300) for g in ("a", "b")] + [("a", "y" * 90, 900), ("a", "", 901), ("c", "lone", 902)]
+    queries = [("a", name()) for _ in range(40)] + [("b", name()) for _ in range(10)] + [("a", "y" * 88 + "z"), ("c", "lone"), ("a", ""), ("none", "acme")]
+    q, t = spark.createDataFrame(queries, "group string, normal string"), spark.createDataFrame(targets, "group string, m_normal string, first long")
+    for k, cutoff in ((1, 92.0), (5, 0.0)):
+        got: dict = {}
+        for r in nearest(q, t, k, cutoff).collect():
+            got.setdefault((r.group, r.normal), []).append((-r.score, r["first"]))
+        for g, n in set(queries):
+            least: dict = {}
+            for h, m, i in targets:
+                if h == g and m and n:
+                    least[m] = min(i, least.get(m, i))
+            want = sorted((-round(similarity.weighted_ratio(n, m), 6), i) for m, i in least.items())
+            assert sorted(got.get((g, n), [])) == [w for w in want if -w[0] >= cutoff][:k], (g, n)
+    assert nearest(q.limit(0), t).count() == 0 and nearest(q, t.limit(0)).count() == 0
