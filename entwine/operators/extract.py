@@ -186,6 +186,36 @@ def coded_records(pages: DataFrame, doc: str, body: str) -> DataFrame:
     return each.select("doc", F.col("r.code").alias("ei_registration_number"), text.clean_text(F.col("r.name")).alias("entity_name"), F.col("r.tax").alias("tax_id"))
 
 
+#: Headers of a column of names.
+NAME_HEADS = ("denominación", "denominacion", "razón social", "razon social", "nombre", "empresa", "entidad")
+
+
+def named_rows(pages: DataFrame, doc: str, html: str) -> DataFrame:
+    """doc, pos, entity_name, tax_id: the rows below the first of a page's tables, with the name from the first column with a
+    header of names (else the first column) and the tax number from the text of the row. Rows without a name fall away."""
+    rows = F.transform(F.regexp_extract_all(html, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), F.lit(1)), lambda r: F.transform(F.regexp_extract_all(r, F.lit(r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]>"), F.lit(1)), bare))
+    full = pages.select(F.col(doc).alias("doc"), F.filter(rows, lambda r: F.size(r) > 0).alias("rows"))
+    looks = lambda c: F.lower(c).isin(*NAME_HEADS)
+    at = F.greatest(F.lit(0), F.array_position(F.transform(F.get("rows", F.lit(0)), looks), True).cast("int") - 1)
+    each = full.select("doc", F.coalesce(at, F.lit(0)).alias("at"), F.posexplode(F.slice("rows", 2, 2**31 - 1)).alias("pos", "cells"))
+    named = each.select("doc", "pos", text.clean_text(F.get("cells", F.col("at"))).alias("entity_name"), ids.tax_any(F.array_join("cells", " ")).alias("tax_id"))
+    return named.where("entity_name IS NOT NULL")
+
+
+def page_records(pages: DataFrame, doc: str, body: str) -> DataFrame:
+    """doc, ei_registration_number, tax_id, entity_name: the records of a page's tables, of pages without any those that its running text shows."""
+    fields = ("doc", "ei_registration_number", "tax_id", "entity_name")
+    cells = table_records(html_rows(pages, doc, body)).select(*fields)
+    rest = pages.select(F.col(doc).alias("doc"), bare(F.col(body)).alias("body")).join(cells.select("doc").distinct(), "doc", "left_anti")
+    return cells.unionByName(coded_records(rest, "doc", "body").select(*fields))
+
+
+def text_pages(texts: DataFrame, doc: str, body: str, start: int = 1) -> DataFrame:
+    """doc, page, body: the pages of extracted text, parted by form feeds, from page `start` on."""
+    each = texts.select(F.col(doc).alias("doc"), F.posexplode(F.split(body, "\f")).alias("page", "body"))
+    return each.withColumn("page", F.col("page") + 1).where(F.col("page") >= start)
+
+
 def register_hits(blocks: DataFrame, doc: str, body: str) -> DataFrame:
     """doc and the fields of a German register entry; texts without court and register number give no row, equal entries one."""
     b = collapse(F.col(body))

@@ -62,6 +62,13 @@ def default_mapping(df: DataFrame) -> DataFrame:
     return df.select(F.col(f"`{name}`").cast("string").alias("entity_name"), number.alias("tax_id"))
 
 
+def siren_rows(df: DataFrame, name: str, siren: str) -> DataFrame:
+    """country, entity_name, tax_id, tax_id_root of French sheet rows that have a name and a SIREN of nine digits."""
+    number = ids.siren_of_sheet(F.col(siren))
+    rows = df.select(F.lit("FR").alias("country"), text.clean_text(F.col(name)).alias("entity_name"), number.alias("tax_id"), number.alias("tax_id_root"))
+    return rows.where("entity_name IS NOT NULL AND tax_id IS NOT NULL")
+
+
 def filled_in(df: DataFrame, meta: dict[str, str | None]) -> DataFrame:
     """Literals for columns that are missing or hold nothing at all; one aggregation looks at all of them."""
     there = [c for c in meta if c in df.columns]

@@ -99,12 +99,42 @@ def sheet_rows(content: bytes) -> list[list[str | None]]:
         return rows
 
 
-def read_xlsx(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
-    """All-string columns of the first sheets of XLSX files; the first file's header names them, without one _c0, _c1 ..."""
-    files = spark.read.format("binaryFile").load(path)
-    first = sheet_rows(bytes(files.orderBy("path").select("content").first()[0]))
-    width = max(map(len, first), default=0)
-    names = [(x or f"_c{i}") for i, x in enumerate(first[0] + [None] * (width - len(first[0])))] if header and first else [f"_c{i}" for i in range(width)]
+def sheet_bytes(rows: list[list[str | None]]) -> bytes:
+    """An XLSX file with one sheet of texts."""
+    import io
+    import zipfile
+    from xml.sax.saxutils import escape
+
+    def cell(at: int, value: str | None) -> str:
+        name = ""
+        at += 1
+        while at:
+            at, rest = divmod(at - 1, 26)
+            name = chr(65 + rest) + name
+        return "" if value is None else f'<c r="{name}1" t="inlineStr"><is><t xml:space="preserve">{escape(value)}</t></is></c>'
+
+    body = "".join("<row>" + "".join(cell(i, v) for i, v in enumerate(r)) + "</row>" for r in rows)
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("xl/worksheets/sheet1.xml", f'<?xml version="1.0" encoding="UTF-8"?><worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData>{body}</sheetData></worksheet>')
+    return out.getvalue()
+
+
+def to_xlsx(df: DataFrame) -> DataFrame:
+    """content: spreadsheets with a header that hold the rows of `df` as text, one for each batch of rows."""
+    names = df.columns
+
+    def books(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                yield pd.DataFrame({"content": [sheet_bytes([names, *batch.astype(object).where(batch.notna(), None).values.tolist()])]})
+
+    return df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in names]).mapInPandas(books, "content binary")
+
+
+def xlsx_rows(books: DataFrame, names: list[str], header: bool = True) -> DataFrame:
+    """The rows of the first sheets of spreadsheets (content) as text columns; rows that are too short are filled with null."""
+    width = len(names)
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -112,7 +142,16 @@ def read_xlsx(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
                 data = sheet_rows(bytes(content))[1 if header else 0 :]
                 yield pd.DataFrame([(r + [None] * width)[:width] for r in data], columns=range(width)).astype(object)
 
-    return files.select("content").mapInPandas(rows, ", ".join(f"`_c{i}` string" for i in range(width))).toDF(*names)
+    return books.select("content").mapInPandas(rows, ", ".join(f"`_c{i}` string" for i in range(width))).toDF(*names)
+
+
+def read_xlsx(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
+    """All-string columns of the first sheets of XLSX files; the first file's header names them, without one _c0, _c1 ..."""
+    books = spark.read.format("binaryFile").load(path)
+    first = sheet_rows(bytes(books.orderBy("path").select("content").first()[0]))
+    width = max(map(len, first), default=0)
+    names = [(x or f"_c{i}") for i, x in enumerate(first[0] + [None] * (width - len(first[0])))] if header and first else [f"_c{i}" for i in range(width)]
+    return xlsx_rows(books, names, header)
 
 
 def read_table(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
@@ -128,21 +167,25 @@ def read_blocks(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, lineSep="\n\n").where(F.length(F.trim("value")) > 0)
 
 
-def read_catalogue(path: str) -> list[dict]:
+def catalogue_of(text: str) -> list[dict]:
     """The enabled sources of a YAML catalogue; a list, or a list under `sources`."""
     import yaml
 
-    with open(path, encoding="utf-8") as f:
-        data = yaml.safe_load(f) or []
+    data = yaml.safe_load(text) or []
     entries = data.get("sources", []) if isinstance(data, dict) else data
     return [e for e in entries if e.get("enabled", True)]
 
 
+def read_catalogue(path: str) -> list[dict]:
+    with open(path, encoding="utf-8") as f:
+        return catalogue_of(f.read())
+
+
 def write_csv(df: DataFrame, path: str, quote_all: bool = False, append: bool = False, single: bool = False, fields: list[str] | None = None) -> int:
     """CSV with header in a folder; the number of rows written, observed on the way. single: one file, for small results only."""
     from pyspark.sql import Observation
 
     seen = Observation()
     out = (df.select(*fields) if fields else df).observe(seen, F.count(F.lit(1)).alias("rows"))
-    (out.coalesce(1) if single else out).write.mode("append" if append else "overwrite").option("header", True).option("quoteAll", quote_all).option("escape", '"').csv(path)
+    (out.coalesce(1) if single else out).write.mode("append" if append else "overwrite").option("header", True).option("quoteAll", quote_all).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     return seen.get["rows"]
