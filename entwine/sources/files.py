@@ -37,7 +37,7 @@ def head_of(spark: SparkSession, path: str, size: int = PROBE) -> bytes:
 def dialect_of(head: bytes, separators: str = ",;\t|", required: list[str] | None = None) -> tuple[str, str]:
     """(encoding, separator): the first that give a header with several columns, or with all that are required."""
     for encoding in ENCODINGS:
-        if encoding == "utf-16" and not head.startswith((b"\xff\xfe", b"\xfe\xff")):
+        if (encoding == "utf-16") != head.startswith((b"\xff\xfe", b"\xfe\xff")):
             continue
         try:
             first = head.decode(encoding, "strict" if len(head) < PROBE else "ignore").splitlines()[0]
