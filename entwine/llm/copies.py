@@ -2,14 +2,16 @@
 
 The characters of a batch of texts pass through a lookup table that skips whatever is no letter or digit
 and folds case, straight into rolling polynomial hashes of the words; the hashes of a record's words are
-added up, so the order of words and fields does not matter and no canonical text is ever built. Rows whose
+added up, so the order of words and fields does not matter and no canonical text is ever built. Letters that stand
+alone make one word with those beside them ("S. L. U."). A second key rolls over the whole name as one word, so
+blanks and signs inside words do not matter either, a third leaves letters alone as words of their own; groups that
+share one of the keys are one. Rows whose
 hashes collide are compared with the first row of their hash by two pointers that skip in the same way.
 """
 
 from __future__ import annotations
 
 import unicodedata
-from collections import Counter
 from functools import lru_cache
 
 import numpy as np
@@ -18,11 +20,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Words of up to so many characters are hashed letter by letter, so "S. L. U." equals "SLU".
-SHORT = 3
+from entwine.llm.components import components
+from entwine.plans.durable import durable
+
 #: Two independent 64-bit polynomials.
 BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 SIZE = 0x110000
+#: Hashes that formatting does not change: by word or not, with letters alone glued or not.
+KEYS = {"words": (True, True), "whole": (False, True), "single": (True, False)}
 PAIR = T.StructType([T.StructField("h1", T.LongType()), T.StructField("h2", T.LongType())])
 
 
@@ -54,13 +59,12 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-def hashes(texts: list[str | None], by_word: bool = True) -> np.ndarray:
-    """A (len(texts), 2) array of order-free hashes; with by_word False a text is one word, whatever blanks it holds.
+def hashes(texts: list[str | None], by_word: bool = True, glue: bool = True) -> np.ndarray:
+    """A (len(texts), 2) array of order-free hashes; with by_word False a text is one word, whatever blanks it holds; with glue False letters that stand alone stay words.
 
     Null and texts without letters or digits get 0.
     """
-    clean = [x if x and (x.isascii() or unicodedata.is_normalized("NFC", x)) else unicodedata.normalize("NFC", x or "") for x in texts]
-    clean = [x if "ß" not in x and "ẞ" not in x else x.replace("ß", "ss").replace("ẞ", "ss") for x in clean]
+    clean = [tidy(x) for x in texts]
     n = np.fromiter(map(len, clean), np.int64, len(clean))
     out = np.zeros((len(clean), 2), np.uint64)
     if not n.sum():
@@ -72,6 +76,11 @@ def hashes(texts: list[str | None], by_word: bool = True) -> np.ndarray:
     # a word starts at a kept character after a skipped one, or where another text starts; an apostrophe or dot skips, too
     if by_word:
         start = kept & np.concatenate([[True], ~kept[:-1] | (row[1:] != row[:-1])])
+        alone = start & np.concatenate([~kept[1:] | (row[1:] != row[:-1]), [True]])
+        at = np.flatnonzero(start)
+        if glue and len(at) > 1:  # a letter alone goes on with the word of the letter alone before it
+            glued = alone[at[1:]] & alone[at[:-1]] & (row[at[1:]] == row[at[:-1]])
+            start[at[1:][glued]] = False
     else:
         start = kept & np.concatenate([[True], (row[1:] != row[:-1])])
         seen = np.where(kept, row, -1)
@@ -85,14 +94,10 @@ def hashes(texts: list[str | None], by_word: bool = True) -> np.ndarray:
     first = np.flatnonzero(starts)
     length = np.diff(np.append(first, len(symbols)))
     place = np.arange(len(symbols)) - np.repeat(first, length)
-    short = np.repeat(length <= SHORT, length) if by_word else np.zeros(len(symbols), bool)
     for k, base in enumerate(BASES):
         with np.errstate(over="ignore"):
-            terms = mix(symbols + base) * np.where(short, np.uint64(1), powers(base, int(length.max()))[place])
-            rolled = np.add.reduceat(terms, first)
-            word = np.where((length <= SHORT) & by_word, np.uint64(0), mix(rolled + np.uint64(k + 1)))
-            np.add.at(out[:, k], rows[first], word)
-            np.add.at(out[:, k], rows[short], mix(terms[short] + np.uint64(17)))
+            terms = mix(symbols + base) * powers(base, int(length.max()))[place]
+            np.add.at(out[:, k], rows[first], mix(np.add.reduceat(terms, first) + np.uint64(k + 1)))
     return out.view(np.int64)
 
 
@@ -111,34 +116,69 @@ def skip_equal(a: str, b: str) -> bool:
         i, j = i + 1, j + 1
 
 
-def bag(text: str) -> Counter:
-    """The folded words of a text; short ones letter by letter."""
-    words = "".join(c if c.isalnum() else " " for c in unicodedata.normalize("NFC", text).lower().replace("ß", "ss")).split()
-    return Counter(x for w in words for x in (w if len(w) <= SHORT else [w]))
+def spans(text: str, glue: bool = True) -> list[tuple[int, int]]:
+    """Begin and end of each word; with glue, letters that stand alone side by side are one."""
+    table, out, at, single = fold_table(), [], 0, False
+    while at < len(text):
+        if not table[ord(text[at])]:
+            at += 1
+            continue
+        end = at
+        while end < len(text) and table[ord(text[end])]:
+            end += 1
+        if glue and end - at == 1 and single:
+            out[-1] = (out[-1][0], end)
+        else:
+            out.append((at, end))
+        single, at = end - at == 1, end
+    return out
+
+
+def same_words(a: str, b: str, glue: bool = True) -> bool:
+    """Whether two texts hold the same words in any order: each word is looked for among those of its hash and compared by two pointers."""
+    x, y = spans(a, glue), spans(b, glue)
+    if len(x) != len(y):
+        return False
+    waiting: dict[int, list[str]] = {}
+    for h, (i, j) in zip(hashes([b[i:j] for i, j in y], by_word=False)[:, 0].tolist(), y):
+        waiting.setdefault(h, []).append(b[i:j])
+    for h, (i, j) in zip(hashes([a[i:j] for i, j in x], by_word=False)[:, 0].tolist(), x):
+        hit = next((k for k, w in enumerate(waiting.get(h, [])) if skip_equal(a[i:j], w)), None)
+        if hit is None:
+            return False
+        waiting[h].pop(hit)
+    return True
+
+
+def tidy(text: str | None) -> str:
+    """Composed letters, and ß as ss, as hashes() takes them; most texts come back as they are."""
+    text = text or ""
+    if text.isascii():
+        return text
+    text = text if unicodedata.is_normalized("NFC", text) else unicodedata.normalize("NFC", text)
+    return text.replace("ß", "ss").replace("ẞ", "ss")
 
 
 def same_record(a: list, b: list) -> bool:
     """Whether two records hold the same letters and digits: the first field up to the order of words, the rest up to the order of fields."""
-    name = skip_equal(a[0] or "", b[0] or "") or bag(a[0] or "") == bag(b[0] or "")
-    if not name:
+    a, b = [tidy(x) for x in a], [tidy(x) for x in b]
+    if not (skip_equal(a[0], b[0]) or same_words(a[0], b[0]) or same_words(a[0], b[0], False)):
         return False
-    if all(skip_equal(x or "", y or "") for x, y in zip(a[1:], b[1:])):
-        return True
-    left = list(b[1:])
+    left = b[1:]
     for x in a[1:]:
-        hit = next((k for k, y in enumerate(left) if skip_equal(x or "", y or "")), None)
+        hit = next((k for k, y in enumerate(left) if skip_equal(x, y)), None)
         if hit is None:
             return False
         left.pop(hit)
     return True
 
 
-def record_hash(name: Column, *fields: Column) -> Column:
-    """h1, h2 of a record: `name` word by word, each further field as one word, all added up."""
+def record_hash(name: Column, *fields: Column, by_word: bool = True, glue: bool = True) -> Column:
+    """h1, h2 of a record: `name` word by word (or as one word), each further field as one word, all added up."""
 
     @F.pandas_udf(PAIR)
     def hash_record(*columns: pd.Series) -> pd.DataFrame:
-        total = hashes(list(columns[0])).view(np.uint64).copy()
+        total = hashes(list(columns[0]), by_word, glue).view(np.uint64).copy()
         with np.errstate(over="ignore"):
             for c in columns[1:]:
                 total += mix(hashes(list(c), by_word=False).view(np.uint64) + np.uint64(5))
@@ -148,30 +188,47 @@ def record_hash(name: Column, *fields: Column) -> Column:
     return hash_record(name, *fields)
 
 
+def differing(here: Column, first: Column) -> Column:
+    """Null where a record equals the first of its hash, else its exact text: hashes that collide by chance are told apart."""
+
+    @F.pandas_udf("string")
+    def told_apart(here: pd.DataFrame, first: pd.DataFrame) -> pd.Series:
+        return pd.Series([None if same_record(list(a), list(b)) else repr([tidy(x).lower() for x in a]) for a, b in zip(here.itertuples(index=False), first.itertuples(index=False))])
+
+    return told_apart(here, first)
+
+
 def count_copies(rows: DataFrame, key: str, name: str, *fields: str) -> DataFrame:
     """`key` of the first row (least key) of each set of two or more equal records, and `n_copies`.
 
-    Rows whose name has no letter or digit, null names included, are no records. The aggregation combines
-    on the map side, so a record with a third of all rows is one partial row per task. Should rows with one
-    hash differ, they are grouped once more by their exact words.
+    Rows whose name has no letter or digit, null names included, are no records. Equal rows are counted first,
+    with partial sums on the map side, so a record with a third of all rows is one row per task. The different
+    spellings are grouped by the hash of their words and verified; groups that share one of the other hashes are
+    then joined by components of the few edges that leads to.
     """
-    hashed = rows.select(key, name, *fields, record_hash(F.col(name), *[F.col(f) for f in fields]).alias("h")).select(key, name, *fields, "h.*")
-    hashed = hashed.where(F.col(name).rlike(r"[\p{L}\p{N}]"))
-    record = F.struct(*[F.col(c) for c in (name, *fields)])
-    first = F.min_by(record, F.col(key)).alias("first")
-    groups = hashed.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(key).alias(key), first).where("n > 1")
-    # rows of one hash and one spelling need one comparison between them
-    spelled = hashed.groupBy("h1", "h2", name, *fields).agg(F.count("*").alias("n"), F.min(key).alias("k"))
-    pairs = spelled.join(groups.select("h1", "h2", "first"), ["h1", "h2"])
-
-    @F.pandas_udf("string")
-    def told_apart(here: pd.DataFrame, first: pd.DataFrame) -> pd.Series:
-        """Null for an equal record, else its exact words."""
-        out = []
-        for a, b in zip(here.itertuples(index=False), first.itertuples(index=False)):
-            out.append(None if same_record(list(a), list(b)) else repr([sorted(bag(a[0]).items()), sorted(sorted(bag(x or "")) for x in a[1:])]))
-        return pd.Series(out)
-
-    checked = pairs.withColumn("other", told_apart(record, F.col("first")))
-    counted = checked.groupBy("h1", "h2", "other").agg(F.sum("n").alias("n_copies"), F.min("k").alias(key))
-    return counted.where("n_copies > 1").select(key, "n_copies")
+    columns = (name, *fields)
+    record = F.struct(*[F.col(c) for c in columns])
+    spelled = rows.where(F.col(name).rlike(r"[\p{L}\p{N}]")).groupBy(*columns).agg(F.count("*").alias("n"), F.min(key).alias("k"))
+    each = [record_hash(F.col(name), *[F.col(f) for f in fields], by_word=w, glue=g).alias(h) for h, (w, g) in KEYS.items()]
+    hashed = durable(spelled.select("*", *each).select(record.alias("record"), "n", "k", *KEYS))
+
+    def verified(kind: str) -> DataFrame:
+        """(k, set) of the spellings that share a hash: the least key of those that equal the first one of it."""
+        keys = ["h1", "h2"]
+        here = hashed.select("record", "k", f"{kind}.h1", f"{kind}.h2")
+        size = here.groupBy(*keys).agg(F.count("*").alias("of"), F.min_by("record", "k").alias("first")).where("of > 1").drop("of")
+        met = here.join(size, keys).withColumn("other", differing(F.col("record"), F.col("first"))).drop("first")
+        sets = met.groupBy(*keys, F.coalesce("other", F.lit("")).alias("other")).agg(F.min("k").alias("set"))
+        return met.select("k", *keys, F.coalesce("other", F.lit("")).alias("other")).join(sets, [*keys, "other"]).select("k", "set")
+
+    by_words, others = durable(verified("words")), verified("whole").unionByName(verified("single"))
+    # a spelling belongs to its set of words; the other keys tie sets together
+    homed = durable(hashed.select("k", "n").join(by_words, "k", "left").withColumn("set", F.coalesce("set", "k")))
+    ends = others.withColumnRenamed("set", "mate").join(homed.select("k", "set"), "k")
+    ends = ends.join(homed.select(F.col("k").alias("mate"), F.col("set").alias("other")), "mate").where("set <> other")
+    edges = durable(ends.select(F.col("set").alias("a"), F.col("other").alias("b")).distinct())
+    counted = homed.groupBy("set").agg(F.sum("n").alias("n"), F.min("k").alias("k"))
+    if not edges.isEmpty():
+        roots = components(edges)
+        counted = counted.join(roots.withColumnRenamed("node", "set"), "set", "left").groupBy(F.coalesce("root", "set").alias("set")).agg(F.sum("n").alias("n"), F.min("k").alias("k"))
+    return counted.where("n > 1").select(F.col("k").alias(key), F.col("n").alias("n_copies"))

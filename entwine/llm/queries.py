@@ -62,8 +62,9 @@ def cities(spark: SparkSession, folder: str) -> frozenset[str]:
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     """Pairs of rows whose names are spellings of one name."""
     rows = both_names(spark, folder).unionByName(supplier_names(spark, folder)).drop("table_name")
-    clean = rows.where(~encoding.suspect(F.col("name"), F.col("land"))).select("row_id", copies.record_hash(F.col("name")).alias("h"), "name", "land")
-    linked = variants.entities(clean.select("row_id", F.xxhash64("h.h1", "h.h2").alias("h"), "name", "land"), cities(spark, folder))
+    hashes = [copies.record_hash(F.col("name"), by_word=w, glue=g).alias(h) for h, (w, g) in copies.KEYS.items()]
+    clean = rows.where(~encoding.suspect(F.col("name"), F.col("land"))).select("row_id", *hashes, "name", "land")
+    linked = variants.entities(clean.select("row_id", *[F.col(f"{h}.h1").alias(h) for h in copies.KEYS], "name", "land"), cities(spark, folder))
     return variants.variant_pairs(linked)
 
 

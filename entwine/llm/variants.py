@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from entwine.llm.components import components
 from entwine.llm.names import with_line
 from entwine.plans.durable import durable
 
@@ -142,24 +143,6 @@ def close_pairs(forms: DataFrame, lands: list[str], keyed=segment_keys) -> DataF
     return near.select(F.left("s", F.lit(1)).alias("kind"), "a", "b", "at", bits.alias("bits")).where("bits IS NOT NULL").groupBy("kind", "a", "b", "at").agg(F.min("bits").alias("bits"))
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, root): for every node of `edges` (a, b) the least node it is connected with.
-
-    Labels spread to neighbours and jump along labels until none changes, each round over the edges only;
-    every round is written to the shared checkpoint folder.
-    """
-    both = durable(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = durable(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("root")))
-    while True:
-        spread = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
-        jump = labels.select(F.col("node").alias("root"), F.col("root").alias("far"))
-        nxt = labels.join(spread, "node").join(jump, "root", "left").select("node", F.least("root", "near", "far").alias("new"), "root")
-        nxt = durable(nxt)
-        if nxt.where("new <> root").isEmpty():
-            return labels
-        labels = nxt.select("node", F.col("new").alias("root"))
-
-
 def entities(rows: DataFrame, places: frozenset[str], keyed=segment_keys) -> DataFrame:
     """The key columns of `rows` with `entity`, equal for the rows whose names are spellings of one name in one land.
 
@@ -195,8 +178,10 @@ def entities(rows: DataFrame, places: frozenset[str], keyed=segment_keys) -> Dat
 def variant_pairs(rows: DataFrame) -> DataFrame:
     """(row_id_a, row_id_b), a < b: rows of one `entity` whose names differ in letters or digits.
 
-    rows: row_id, entity, h (the order-free hash of the name). The pairs are the result, so their number
-    is not bounded by the rows; rows of one entity and one hash are no pairs and are never paired.
+    rows: row_id, entity, and hashes of the name that formatting does not change; names with one of them equal are
+    no pair. The pairs are the result, so their number is not bounded by the rows.
     """
-    a, b = rows.select("entity", F.col("row_id").alias("row_id_a"), F.col("h").alias("x")), rows.select("entity", F.col("row_id").alias("row_id_b"), F.col("h").alias("y"))
-    return a.join(b, "entity").where("row_id_a < row_id_b AND x <> y").select("row_id_a", "row_id_b")
+    hashes = [c for c in rows.columns if c not in ("row_id", "entity")]
+    a, b = (rows.select("entity", F.col("row_id").alias(f"row_id_{s}"), *[F.col(c).alias(f"{c}_{s}") for c in hashes]) for s in "ab")
+    differ = " AND ".join(["row_id_a < row_id_b", *[f"{c}_a <> {c}_b" for c in hashes]])
+    return a.join(b, "entity").where(differ).select("row_id_a", "row_id_b")
