@@ -369,13 +369,6 @@ def line_fold(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc", island.alias("island")).groupBy("doc", "island").agg(F.count("*").alias("n"))
 
 
-@query("ranked_rows")
-def ranked_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """Ranked listing read from the documents' sentences, each third one numbered."""
-    numbered = extract.lines(table(spark, folder, "documents").withColumn("text", F.replace("text", F.lit(". "), F.lit(".\n"))), "doc_id", "text")
-    return extract.ranked_rows(numbered.withColumn("line", F.when(F.col("pos") % 3 == 0, F.concat(F.col("pos") + 1, F.lit(" "), "line")).otherwise(F.col("line"))))
-
-
 @query("json_values", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
 def json_values(spark: SparkSession, folder: str) -> DataFrame:
     items = extract.json_items(table(spark, folder, "events", "event_id", "props"), "event_id", "props")
@@ -398,15 +391,30 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     return packed.unpack(table(spark, folder, TRU, "row_id", "identified_clients", "sector"), "row_id", ["identified_clients", "sector"])
 
 
-@query("p6_found")
+ROSTER_FILE = (B, "country_hint", "website_hint", "trusted_reason", "publish_status", "source", "updated_on")
+FIELD = r'(?:"(?:[^"]|"")*"|[^"\x1f]*)'
+#: Lines with their separator as \x1f, so that one pattern fits all files; v: value by column name, null where the file lacks it.
+LINES_SQL = rf"""
+WITH h AS (SELECT file_name, regexp_replace(min_by(raw_line, line_id), '\r$', '') AS header FROM raw_roster_lines WHERE line_no = 1 GROUP BY 1),
+s AS (SELECT *, coalesce(nullif(substring(regexp_replace(header, '[^,;|\t]', '', 'g'), 1, 1), ''), ',') AS sep FROM h),
+f AS (SELECT file_name, sep, list_transform(regexp_extract_all(chr(31) || replace(header, sep, chr(31)), '\x1f({FIELD})', 1), lambda x: trim(CASE WHEN x[1] = '"' THEN replace(x[2:-2], '""', '"') ELSE x END)) AS names FROM s),
+l AS (SELECT line_id, file_name, line_no, names, coalesce(sep, ',') AS sep, replace(regexp_replace(raw_line, '\r$', ''), coalesce(sep, ','), chr(31)) AS line FROM raw_roster_lines LEFT JOIN f USING (file_name) WHERE line_no IS NULL OR line_no <> 1),
+c AS (SELECT *, list_transform(regexp_extract_all(chr(31) || line, '\x1f({FIELD})', 1), lambda x: replace(CASE WHEN x[1] = '"' THEN replace(x[2:-2], '""', '"') ELSE x END, chr(31), sep)) AS fields FROM l),
+k AS (SELECT *, CASE WHEN line IS NULL OR names IS NULL THEN 'column_count' WHEN NOT regexp_full_match(line, '{FIELD}(?:\x1f{FIELD})*') THEN 'quoting' WHEN len(fields) <> len(names) THEN 'column_count' END AS shape FROM c),
+v AS (SELECT line_id, file_name, line_no, shape, {", ".join(f"fields[nullif(list_position(names, '{x}'), 0)] AS {x}" for x in ROSTER_FILE)} FROM k),
+r AS (SELECT *, coalesce(shape, CASE WHEN NOT coalesce(regexp_matches({B}, '\p{{L}}'), true) OR NOT coalesce(website_hint = '' OR regexp_full_match(website_hint, '(?i:https?://)?[\p{{L}}\p{{N}}-]+(?:\.[\p{{L}}\p{{N}}-]+)+(?::\d+)?(?:/\S*)?'), true)
+  OR NOT coalesce(lower(publish_status) IN ('', 'published', 'draft'), true) OR NOT coalesce(updated_on = '' OR (regexp_full_match(updated_on, '\d{{4}}-\d{{2}}-\d{{2}}') AND try_cast(updated_on AS DATE) IS NOT NULL), true) THEN 'invalid_value' END) AS reason FROM v)
+"""
+
+
+@query("p6_found", LINES_SQL + "SELECT line_id, reason FROM r WHERE reason IS NOT NULL")
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     """Roster lines that are no valid record, with the reason."""
     return parse.rejected(parse.parse_lines(table(spark, folder, "raw_roster_lines")), parse.ROSTER_RULES).select("line_id", "reason")
 
 
-@query("p6_rows")
+@query("p6_rows", LINES_SQL + f"SELECT line_id, file_name, line_no, {', '.join(ROSTER_FILE)} FROM r WHERE reason IS NULL")
 def p6_rows(spark: SparkSession, folder: str) -> DataFrame:
     """The valid roster lines as rows."""
     lines = parse.parse_lines(table(spark, folder, "raw_roster_lines"))
-    columns = [B, "country_hint", "website_hint", "trusted_reason", "publish_status", "source", "updated_on"]
-    return parse.accepted(lines, parse.rejected(lines, parse.ROSTER_RULES), columns)
+    return parse.accepted(lines, parse.rejected(lines, parse.ROSTER_RULES), list(ROSTER_FILE))
