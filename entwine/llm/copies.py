@@ -135,18 +135,21 @@ def spans(text: str, glue: bool = True) -> list[tuple[int, int]]:
 
 
 def same_words(a: str, b: str, glue: bool = True) -> bool:
-    """Whether two texts hold the same words in any order: each word is looked for among those of its hash and compared by two pointers."""
+    """Whether two texts hold the same words in any order: each word is looked for among those of its length and first letter and compared by two pointers."""
     x, y = spans(a, glue), spans(b, glue)
     if len(x) != len(y):
         return False
-    waiting: dict[int, list[str]] = {}
-    for h, (i, j) in zip(hashes([b[i:j] for i, j in y], by_word=False)[:, 0].tolist(), y):
-        waiting.setdefault(h, []).append(b[i:j])
-    for h, (i, j) in zip(hashes([a[i:j] for i, j in x], by_word=False)[:, 0].tolist(), x):
-        hit = next((k for k, w in enumerate(waiting.get(h, [])) if skip_equal(a[i:j], w)), None)
+    table = fold_table()
+    kind = lambda t, i, j: (table[ord(t[i])], sum(1 for c in t[i:j] if table[ord(c)]))
+    waiting: dict[tuple[int, int], list[str]] = {}
+    for i, j in y:
+        waiting.setdefault(kind(b, i, j), []).append(b[i:j])
+    for i, j in x:
+        left = waiting.get(kind(a, i, j), [])
+        hit = next((k for k, w in enumerate(left) if skip_equal(a[i:j], w)), None)
         if hit is None:
             return False
-        waiting[h].pop(hit)
+        left.pop(hit)
     return True
 
 
@@ -212,21 +215,19 @@ def count_copies(rows: DataFrame, key: str, name: str, *fields: str) -> DataFram
     each = [record_hash(F.col(name), *[F.col(f) for f in fields], by_word=w, glue=g).alias(h) for h, (w, g) in KEYS.items()]
     hashed = durable(spelled.select("*", *each).select(record.alias("record"), "n", "k", *KEYS))
 
-    def verified(kind: str) -> DataFrame:
-        """(k, set) of the spellings that share a hash: the least key of those that equal the first one of it."""
-        keys = ["h1", "h2"]
-        here = hashed.select("record", "k", f"{kind}.h1", f"{kind}.h2")
-        size = here.groupBy(*keys).agg(F.count("*").alias("of"), F.min_by("record", "k").alias("first")).where("of > 1").drop("of")
-        met = here.join(size, keys).withColumn("other", differing(F.col("record"), F.col("first"))).drop("first")
-        sets = met.groupBy(*keys, F.coalesce("other", F.lit("")).alias("other")).agg(F.min("k").alias("set"))
-        return met.select("k", *keys, F.coalesce("other", F.lit("")).alias("other")).join(sets, [*keys, "other"]).select("k", "set")
-
-    by_words, others = durable(verified("words")), verified("whole").unionByName(verified("single"))
-    # a spelling belongs to its set of words; the other keys tie sets together
-    homed = durable(hashed.select("k", "n").join(by_words, "k", "left").withColumn("set", F.coalesce("set", "k")))
-    ends = others.withColumnRenamed("set", "mate").join(homed.select("k", "set"), "k")
-    ends = ends.join(homed.select(F.col("k").alias("mate"), F.col("set").alias("other")), "mate").where("set <> other")
-    edges = durable(ends.select(F.col("set").alias("a"), F.col("other").alias("b")).distinct())
+    def verified(here: DataFrame, several: str) -> DataFrame:
+        """(k, set) of the spellings of `here` (record, k, h1, h2) that share a hash for which `several` holds: the least key of those that equal the first one."""
+        size = here.groupBy("h1", "h2").agg(F.min_by("record", "k").alias("first"), F.expr(several).alias("_several")).where("_several").drop("_several")
+        met = here.join(size, ["h1", "h2"]).withColumn("other", F.coalesce(differing(F.col("record"), F.col("first")), F.lit(""))).select("k", "h1", "h2", "other")
+        return met.join(met.groupBy("h1", "h2", "other").agg(F.min("k").alias("set")), ["h1", "h2", "other"]).select("k", "set")
+
+    by_words = verified(hashed.select("record", "k", "words.h1", "words.h2"), "count(*) > 1")
+    homed = durable(hashed.drop("words").join(by_words, "k", "left").withColumn("set", F.coalesce("set", "k")))
+    # a spelling belongs to its set of words; where another key holds several sets, it ties them together
+    others = [verified(homed.select("record", "k", f"{h}.h1", f"{h}.h2", F.col("set").alias("home")), "min(home) <> max(home)") for h in ("whole", "single")]
+    sets = homed.select("k", F.col("set").alias("a"))
+    ends = others[0].unionByName(others[1]).join(sets, "k").join(sets.select(F.col("k").alias("set"), F.col("a").alias("b")), "set")
+    edges = durable(ends.select("a", "b").where("a <> b").distinct())
     counted = homed.groupBy("set").agg(F.sum("n").alias("n"), F.min("k").alias("k"))
     if not edges.isEmpty():
         roots = components(edges)
