@@ -136,3 +136,72 @@ def test_registry_loads_without_session():
     import __spark_entry__ as entry
 
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_resolvers_against_brute_force(spark):
+    import random
+    import re
+
+    from entwine.functions.similarity import weighted_ratio
+    from entwine.functions.values import STOP_TOKENS
+
+    rng = random.Random(7)
+    pool = ["taller", "solar", "grupo", "verde", "norte", "luna", "sol", "cooperativa", "añil", "x"]
+    name = lambda: " ".join(rng.choice(pool) + rng.choice(["", "", "s"]) for _ in range(rng.randint(1, 3)))
+    master = [(i, rng.choice(["ES", "FR"]), name(), f"e{i}", rng.choice(["", "a.es", "b.es"])) for i in range(60)] + [(90, "ES", None, "e90", None), (91, "ES", "sin id", None, "")]
+    roster = [(i, name(), rng.choice(["es ", "FR", "DE", ""]), rng.choice([None, "http://www.a.es/x", "b.es", "c.es"])) for i in range(60)] + [(80, None, "ES", None), (81, "sol", None, None), (82, "x", "ES", None), (83, "", "ES", "a.es"), (80, None, "ES", None)]
+    m = spark.createDataFrame([(i, c, n, n, e, w, "extra") for i, c, n, e, w in master], "row_id long, country string, entity_name string, entity_name_norm string, entity_id string, website string, order string")
+    r = spark.createDataFrame(roster, "row_id long, raw_brand_name string, country_hint string, website_hint string")
+    rows = [(i, c, n or "", e) for i, c, n, e, _ in master if e]
+    letters = lambda s: re.sub("[^a-z0-9]", "", s)[:4]
+    score = lambda a, b: round(weighted_ratio(a, b), 6)
+    blocks = resolve.resolve_by_blocks(r, m, widen=3, most=4, k=2)
+    got = {x.r_key: x for x in blocks.collect()}
+    for i, n, land, _ in roster:
+        n, land = n or "", (land or "").strip().upper()
+        if not n or not land:
+            assert got[i].match_method == "missing_country_or_name"
+            continue
+        here = [x for x in rows if x[1] == land]
+        if not here:
+            assert got[i].match_method == "no_master_for_country"
+            continue
+        found = [x for x in here if letters(n) and letters(x[2]) == letters(n)]
+        if len(found) < 3:
+            more = here
+            for t in sorted({t for t in re.findall("[a-z0-9]+", n) if len(t) >= 4 and t not in STOP_TOKENS}, key=lambda t: (-len(t), t))[:2]:
+                more = [x for x in more if t in x[2]]
+                if len(more) < 4:
+                    break
+            found = found + [x for x in more if x not in found]
+        assert got[i].candidate_count == len(found), (n, land, got[i], found)
+        best = sorted((-score(n, x[2]), x[0], x[3]) for x in found if x[2])[:2]
+        how = "no_candidates" if not found else "too_many_candidates" if len(found) > 4 else "no_match" if not best else "fuzzy_blocked" if best[0][0] <= -92 else "below_threshold"
+        assert got[i].match_method == how and got[i].needs_review == (how != "fuzzy_blocked")
+        if how == "fuzzy_blocked":
+            assert got[i].entity_id == best[0][2] and got[i].match_score == -best[0][0]
+        if how == "below_threshold":
+            assert [x.split("|")[0] for x in got[i].top_candidates.split("; ")] == [b[2] for b in best]
+    by_name = {x.r_key: x for x in resolve.resolve_by_domain(r, m, "website", most=20, k=2).collect()}
+    webs = {i: w or "" for i, _, _, _, w in master}
+    for i, n, land, web in roster:
+        n, land, web = n or "", (land or "").strip().upper(), {"http://www.a.es/x": "a.es"}.get(web, web or "")
+        here = [x for x in rows if x[1] == land]
+        same = [x for x in here if web and webs[x[0]] == web]
+        pick = same if 1 < len(same) <= 20 else here
+        best = sorted((-score(n, x[2]), x[0], x[3]) for x in pick if x[2] and n)[:2]
+        high = bool(best) and best[0][0] <= -92
+        if not n and not web:
+            how = "empty"
+        elif len(same) == 1:
+            how = "domain_exact"
+        elif 1 < len(same) <= 20:
+            how = "domain+fuzzy" if high else "domain_ambiguous"
+        else:
+            how = "no_country_index" if not here or not n else "fuzzy_country" if high else "fuzzy_below_threshold"
+        assert by_name[i].match_method == how, (i, n, land, web, by_name[i])
+        if how in ("domain+fuzzy", "fuzzy_country"):
+            assert by_name[i].entity_id == best[0][2]
+    assert resolve.resolve_by_blocks(r.limit(0), m).count() == 0 and resolve.resolve_by_domain(r, m.limit(0), "website").count() == 65
+    queue = resolve.review_by_blocks(blocks, 4)
+    assert {x.r_key for x in queue.collect()} == {k for k, x in got.items() if x.match_method in ("too_many_candidates", "below_threshold")}
