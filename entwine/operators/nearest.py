@@ -19,7 +19,7 @@ from entwine.functions.similarity import common_length, weighted_ratio
 from entwine.plans.durable import small_side, spread
 
 #: Names of a block on the side of the targets and of the queries.
-TARGETS, QUERIES = 1024, 256
+TARGETS, QUERIES = 4096, 64
 #: Letters up to which a name's positions fit one word of bits.
 BITS = 63
 RESULT = "group string, normal string, m_normal string, first long, score double"
