@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from entwine.functions import ids, text
 from entwine.functions import values as V
 from entwine.operators.nearest import nearest
-from entwine.plans.durable import durable, small_side
+from entwine.plans.durable import durable, shuffled, small_side
 
 OUTPUT = ("social_enterprise_supplier", "matched_register", "matched_entity_name", "match_type", "match_score", "match_country", "match_region")
 
@@ -88,11 +88,11 @@ def containing(texts: DataFrame, body: str, words: DataFrame, word: str, on: lis
     runs = lambda c, n: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(c) - n + 1)), lambda i: F.substring(c, i, n)))
     listed = words.select(*on, F.col(word).alias("_word")).where("_word <> ''").distinct()
     cut = listed.withColumn("_run", F.explode(runs(F.col("_word"), F.least(F.lit(q), F.length("_word")))))
-    index = cut.join(cut.groupBy(*on, "_run").agg(F.count("*").alias("_n")), [*on, "_run"]).groupBy(*on, "_word").agg(F.min_by("_run", F.struct("_n", "_run")).alias("_run"))
+    index = durable(shuffled(cut).join(shuffled(cut.groupBy(*on, "_run").agg(F.count("*").alias("_n"))), [*on, "_run"]).groupBy(*on, "_word").agg(F.min_by("_run", F.struct("_n", "_run")).alias("_run")))
     sizes = sorted(r[0] for r in index.select(F.length("_run")).distinct().collect())  # at most q numbers
     every = F.flatten(F.array(*[runs(F.col(body), F.lit(n)) for n in sizes])) if sizes else F.array().cast("array<string>")
     looked = texts.where(F.col(body).isNotNull()).withColumn("_run", F.explode(every))
-    hit = looked.join(index, [*on, "_run"]).where(F.col(body).contains(F.col("_word")))
+    hit = shuffled(looked).join(shuffled(index), [*on, "_run"]).where(F.col(body).contains(F.col("_word")))
     return hit.select(*texts.columns, F.col("_word").alias(word)).distinct()
 
 

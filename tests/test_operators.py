@@ -205,3 +205,12 @@ def test_resolvers_against_brute_force(spark):
     assert resolve.resolve_by_blocks(r.limit(0), m).count() == 0 and resolve.resolve_by_domain(r, m.limit(0), "website").count() == 65
     queue = resolve.review_by_blocks(blocks, 4)
     assert {x.r_key for x in queue.collect()} == {k for k, x in got.items() if x.match_method in ("too_many_candidates", "below_threshold")}
+
+
+def test_exploded_runs_are_not_broadcast(spark):
+    names = spark.sql("SELECT * FROM VALUES (1, 'Grupo Lupo Sol'), (2, 'Lup'), (3, 'lupo'), (4, NULL), (5, 'Sol AB') AS t(id, name)")  # of known size
+    brands = spark.sql("SELECT * FROM VALUES (' LUPO '), ('ab'), (''), (NULL) AS t(brand)")
+    hit = matching.contained(names, "id", "name", brands, "brand")
+    plan = hit._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert {r.id for r in hit.collect()} == {1, 3, 5}
