@@ -201,6 +201,17 @@ def test_linkage(spark):
     assert linkage.matches(left.limit(0), right, frozenset()).count() == 0
 
 
+def test_one_wrong_pair_does_not_outweigh_a_register(spark):
+    rows = [(i, f"Brelebo Mitos {w}", "ES", None, f"B1234567{i // 2}") for i, w in enumerate(x for w in ("Gurela", "Lupoz", "Zabro", "Pelir") for x in (w, w))]
+    left = spark.createDataFrame(rows, "row_id long, name string, land string, web string, tax string")
+    right = spark.createDataFrame([(20, "Brelebo Mitos Gurela", "ES", None, "B99999999"), (21, "Brelebo Mitos Lupoz", "ES", None, None)], left.schema)
+    got = {(r.row_id_a, r.row_id_b): r.confidence for r in linkage.matches(left, right, frozenset()).collect()}
+    assert got[2, 21] >= linkage.MATCH and got[3, 21] >= linkage.MATCH
+    exploded = linkage.hamming_keys(spark.sql("SELECT 1L AS id, 'lupo sol' AS core, CAST(NULL AS string) AS initial, CAST(NULL AS string) AS given, 'ES' AS `in`"), "index")
+    plan = variants.shuffled(exploded).join(variants.shuffled(exploded.withColumnRenamed("id", "other")), "h")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_hamming_index_finds_all_that_the_segment_index_finds(spark):
     rng = random.Random(5)
     edits = lambda n: 2 if n >= 9 else 1 if n >= 5 else 0
