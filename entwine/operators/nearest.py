@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from entwine.functions.similarity import common_length, weighted_ratio
-from entwine.plans.durable import small_side, spread
+from entwine.plans.durable import durable, shuffled, small_side, spread
 
 #: Names of a block on the side of the targets and of the queries.
 TARGETS, QUERIES = 4096, 64
@@ -120,9 +120,10 @@ def nearest(queries: DataFrame, targets: DataFrame, k: int = 1, cutoff: float =
     repeat. Of equal scores those with the least `first` stay, of equal names the least `first`. Null and empty
     names have no neighbours; queries without any of score `cutoff` or more give no row.
     """
-    asked = queries.where("normal <> ''").select("group", "normal").distinct()
+    asked = durable(queries.where("normal <> ''").select("group", "normal").distinct())
     known = targets.where("m_normal <> ''").join(asked.select("group").distinct(), "group", "left_semi").groupBy("group", "m_normal").agg(F.min("first").alias("first"))
-    blocks = cut(asked, QUERIES, "normal").join(cut(known, TARGETS, "m_normal", "first"), "group")
+    known = durable(known)
+    blocks = shuffled(cut(asked, QUERIES, "normal")).join(shuffled(cut(known, TARGETS, "m_normal", "first")), "group")
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

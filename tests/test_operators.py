@@ -1,6 +1,6 @@
 import pytest
 
-from entwine.operators import extract, matching, packed, parse, registers, resolve
+from entwine.operators import extract, matching, nearest, packed, parse, registers, resolve
 from entwine.sources import files
 
 HEAD = "raw_brand_name;country_hint;website_hint;publish_status;updated_on"
@@ -214,3 +214,11 @@ def test_exploded_runs_are_not_broadcast(spark):
     plan = hit._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
     assert {r.id for r in hit.collect()} == {1, 3, 5}
+
+
+def test_blocks_of_names_are_not_broadcast(spark):
+    asked = spark.sql("SELECT * FROM VALUES ('g', 'lupo sol'), ('g', ''), ('h', 'bredeli') AS t(group, normal)")
+    known = spark.sql("SELECT * FROM VALUES ('g', 'lupo sal', 1L), ('g', 'zabro', 2L), ('x', 'bredeli', 3L) AS t(group, m_normal, first)")
+    found = nearest.nearest(asked, known, 1, 80.0)
+    assert "SortMergeJoin" in found._jdf.queryExecution().executedPlan().toString()
+    assert [(r.normal, r.m_normal, r["first"]) for r in found.collect()] == [("lupo sol", "lupo sal", 1)]
