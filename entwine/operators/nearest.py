@@ -4,6 +4,7 @@ Names are scored with the weighted ratio of `similarity`. Groups are cut into bl
 holds a whole group; a block's longest common subsequences with one name are counted for all its names at once, a
 word of bits per name. They give a lower bound of each score, and an upper bound from what partial and set ratios
 can add; only names whose upper bound reaches the k-th best lower bound are scored in full, so nothing is lost.
+Where only scores from a cutoff on are wanted, letters in common bound them first, and other names are not counted.
 """
 
 from __future__ import annotations
@@ -53,9 +54,11 @@ class Block:
         return {chr(c): i for i, c in enumerate(kinds)}, np.ascontiguousarray(codes[:-1].reshape(points.shape).T)
 
     @staticmethod
-    def common(encoded: tuple[dict[str, int], np.ndarray], query: str, names: list[str]) -> np.ndarray:
-        """Lengths of the longest common subsequences of `query` and every name."""
+    def common(encoded: tuple[dict[str, int], np.ndarray], query: str, names: list[str], at: np.ndarray) -> np.ndarray:
+        """Lengths of the longest common subsequences of `query` and `names`, which are those numbered `at`."""
         letters, codes = encoded
+        if len(at) < codes.shape[1]:
+            codes = codes[:, at]
         if len(query) > BITS:
             return np.fromiter((common_length(query, n) for n in names), np.int64, len(names))
         table = np.zeros(len(letters), np.uint64)
@@ -74,10 +77,6 @@ class Block:
         n, m = len(query), self.length
         words = query.split()
         direct, turned = " ".join(words), " ".join(sorted(words))
-        c1, c2 = self.common(self.plain, query, self.names), self.common(self.turned, turned, [" ".join(sorted(x.split())) for x in self.names] if len(turned) > BITS else self.names)
-        ratio, token_sort = 200.0 * c1 / (n + m), 200.0 * c2 / np.maximum(1, len(turned) + m)
-        less = np.minimum(n, m)
-        longer = np.maximum(n, m) / np.maximum(1, less)
         shares = np.zeros(len(m), bool)
         for w in set(words):
             shares[self.having.get(w, [])] = True
@@ -87,8 +86,24 @@ class Block:
             if c in letters:
                 own[letters[c]] += 1
         bag = np.minimum(self.counts, own).sum(1)
-        scale = np.where(longer <= 8, 0.9, 0.6)
         odd = self.repeats | (len(set(words)) < len(words)) | (direct != query)  # a word twice: sets are shorter than names
+        fair = np.arange(len(m))
+        if cutoff > 0:  # no common subsequence is longer than the letters in common
+            less = np.maximum(1, np.minimum(n, m))
+            longer = np.maximum(n, m) / less
+            part = 200.0 * bag / (less + np.minimum(bag, less))
+            whole = np.maximum(200.0 * bag / (n + m), 190.0 * bag / np.maximum(1, len(turned) + m))
+            rest = np.where(longer < 1.5, np.where(odd, 95.0, np.where(shares, 0.95 * part, 0.0)), np.where(longer <= 8, 0.9, 0.6) * np.where(shares | odd, 100.0, part))
+            fair = np.flatnonzero((m > 0) & (np.maximum(whole, rest) >= cutoff - 1e-5))
+            if not len(fair):
+                return []
+            m, shares, bag, odd = m[fair], shares[fair], bag[fair], odd[fair]
+        names = [self.names[i] for i in fair]
+        c1, c2 = self.common(self.plain, query, names, fair), self.common(self.turned, turned, [" ".join(sorted(x.split())) for x in names] if len(turned) > BITS else names, fair)
+        ratio, token_sort = 200.0 * c1 / (n + m), 200.0 * c2 / np.maximum(1, len(turned) + m)
+        less = np.minimum(n, m)
+        longer = np.maximum(n, m) / np.maximum(1, less)
+        scale = np.where(longer <= 8, 0.9, 0.6)
         near = longer < 1.5
         low = np.where(near, np.maximum(ratio, 0.95 * token_sort), np.maximum(ratio, np.where(shares, 95.0 * scale, 0.0)))
         sets = np.where(odd, 95.0, np.where(shares, 95.0 * np.maximum(2.0 * bag / (n + m), 2.0 * bag / np.maximum(1, bag + less)), 0.95 * token_sort))
@@ -100,9 +115,9 @@ class Block:
         for at in sorted(np.flatnonzero(high >= least), key=lambda i: -high[i]):
             if len(out) >= k and high[at] < out[k - 1][0] - 1e-6:
                 break
-            score = weighted_ratio(query, self.names[at]) if high[at] > low[at] + 1e-9 or near[at] else float(low[at])
+            score = weighted_ratio(query, names[at]) if high[at] > low[at] + 1e-9 or near[at] else float(low[at])
             if round(score, 6) >= cutoff:
-                out.append((round(score, 6), int(at)))
+                out.append((round(score, 6), int(fair[at])))
                 out.sort(key=lambda x: -x[0])
         return out
 
@@ -131,7 +146,8 @@ def nearest(queries: DataFrame, targets: DataFrame, k: int = 1, cutoff: float =
             for group, names, others, first in zip(batch.group, batch.normal, batch.m_normal, batch["first"]):
                 others, order = list(others), list(first)
                 if len(names) * len(others) <= 16:  # too few to encode
-                    found = [(q, s, i) for q in names for i, t in enumerate(others) if (s := round(weighted_ratio(q, t), 6)) >= cutoff]
+                    reach = lambda q, t: cutoff <= 90 or 2 * max(len(q), len(t)) < 3 * min(len(q), len(t))  # noqa: E731 lengths apart by half give 90 at most
+                    found = [(q, s, i) for q in names for i, t in enumerate(others) if reach(q, t) and (s := round(weighted_ratio(q, t), 6)) >= cutoff]
                 else:
                     block = Block(others)
                     found = [(q, s, i) for q in names for s, i in block.best(q, k, cutoff)]
