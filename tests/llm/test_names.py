@@ -126,6 +126,15 @@ def test_encoding_round_trip(spark):
     assert encoding.restore(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_lost_letters_are_wildcards(spark):
+    clean = [(i, f"{w} Küche", "XX") for i, w in enumerate(["Fundación", "Fundación", "JARDINERÍA", "Coopérative", "Ñoma", "Gradûs été"])]
+    want = {100: "Fundación Küche", 101: "Fundación", 102: "JARDINERÍA", 103: "Coopérative", 104: "Ñoma Küche", 105: "Été", 106: "Zabr\ufffd", 107: "Fundación Küche"}
+    bad = [(100, "Fundaci\ufffdn K\ufffdche"), (101, "Fundaci\ufffd\ufffdn"), (102, "JARDINER\ufffdA"), (103, "Coop\ufffdrative"), (104, "\ufffdoma Küche"), (105, "\ufffdt\ufffd"), (106, "Zabr\ufffd"), (107, "Fundaci\ufffdn KÃ¼che")]
+    df = spark.createDataFrame(clean + [(*b, "XX") for b in bad], "row_id long, name string, land string")
+    got = {r.row_id: (r.restored, r.lost) for r in encoding.restore(df, df).collect()}
+    assert got == {k: (v, True) for k, v in want.items()}  # what no clean name tells stays a hole
+
+
 def test_copies_against_brute_force(spark):
     rng = random.Random(4)
     pool = ["Café Ño S.L.U.", "Straße e.V.", "Alpha Beta, Gamma", "d'Insertion Lumo"]
