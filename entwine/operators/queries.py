@@ -245,7 +245,8 @@ def review_queue_v2(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("resolve_rate", BY_BLOCKS + "SELECT count(*) FILTER (WHERE how = 'fuzzy_blocked') AS resolved, count(*) AS total FROM z")
 def resolve_rate(spark: SparkSession, folder: str) -> DataFrame:
-    return resolve_v2(spark, folder).agg(F.count_if(~F.col("needs_review")).alias("resolved"), F.count("*").alias("total"))
+    """How many roster rows resolve_v2 resolves; names below its threshold change no count and are not ranked."""
+    return resolve.resolve_by_blocks(table(spark, folder, TRU), master_of(spark, folder), k=1, least=92.0).agg(F.count_if(~F.col("needs_review")).alias("resolved"), F.count("*").alias("total"))
 
 
 @query("domain_join", f"""

@@ -50,13 +50,14 @@ def group(kind: str, *parts: str) -> Column:
     return F.concat_ws("|", F.lit(kind), *parts)
 
 
-def resolve_by_blocks(roster: DataFrame, master: DataFrame, name: str = "entity_name_norm", threshold: float = 92.0, prefix: int = 4, widen: int = 50, most: int = 200_000, token_k: int = 2, k: int = 5) -> DataFrame:
+def resolve_by_blocks(roster: DataFrame, master: DataFrame, name: str = "entity_name_norm", threshold: float = 92.0, prefix: int = 4, widen: int = 50, most: int = 200_000, token_k: int = 2, k: int = 5, least: float = 0.0) -> DataFrame:
     """One row per roster row: r_key, entity_id, match_method, match_score, candidate_count, needs_review, best_score, top_candidates.
 
     Candidates share country and first letters. Where these are fewer than `widen`, rows of the country that contain
     the name's first chosen token come in, too; of `most` or more of them only those with the next token stay, and so
     on; a name without tokens meets its whole country. Rows with more than `most` candidates go to review as
     too_many_candidates. Blank countries and names give missing_country_or_name. Of equal scores the first row wins.
+    With `least` names under that score are no candidates for the list: enough for who needs matches and no review.
     """
     left, right = durable(roster_side(roster)), master_side(master, name)
     fit = left.where("land <> '' AND normal <> ''").withColumn("block", text.letters_prefix(F.col("normal"), prefix)).withColumn("tokens", text.chosen_tokens(F.col("normal"), token_k))
@@ -102,7 +103,7 @@ def resolve_by_blocks(roster: DataFrame, master: DataFrame, name: str = "entity_
     first = right.select("land", "block", "m_normal", F.col("order").alias("first"))
     in_tokens = members.join(first, ["land", "m_normal"]).select(F.concat_ws("|", F.lit("t"), "land", F.array_join("used", " ")).alias("group"), "m_normal", "first")
     targets = first.where("block <> ''").select(group("p", "land", "block").alias("group"), "m_normal", "first").unionByName(in_tokens).unionByName(first.join(bare.select("land").distinct(), "land", "left_semi").select(group("c", "land").alias("group"), "m_normal", "first"))
-    near = nearest(queries.select("group", "normal"), targets, k).join(queries, ["group", "normal"]).select("land", "normal", "m_normal", "score").distinct()
+    near = nearest(queries.select("group", "normal"), targets, k, least).join(queries, ["group", "normal"]).select("land", "normal", "m_normal", "score").distinct()
     tops = top_rows(near, right.select("land", "m_normal", "id", "name", "order"), ["land", "normal"], k)
     out = left.join(lands, "land", "left").join(counted.drop("block"), ["land", "normal"], "left").join(tops, ["land", "normal"], "left")
     count, best = F.col("candidate_count"), F.col("candidates")[0]

@@ -1,5 +1,9 @@
+import random
+
 import pytest
+from pyspark.sql import functions as F
 
+from entwine.functions.similarity import weighted_ratio
 from entwine.operators import extract, matching, nearest, packed, parse, registers, resolve
 from entwine.sources import files
 
@@ -222,3 +226,27 @@ def test_blocks_of_names_are_not_broadcast(spark):
     found = nearest.nearest(asked, known, 1, 80.0)
     assert "SortMergeJoin" in found._jdf.queryExecution().executedPlan().toString()
     assert [(r.normal, r.m_normal, r["first"]) for r in found.collect()] == [("lupo sol", "lupo sal", 1)]
+
+
+def test_bounds_by_letters_lose_nothing(monkeypatch):
+    rng = random.Random(7)
+    words = ["lupo", "sol", "sal", "fundacion", "fundacio", "de", "brelebo", "mitos", "mtios", "a", "zabro", "pelir"]
+    names = sorted({" ".join(rng.choices(words, k=rng.randint(1, 5))) for _ in range(300)} | {"x" * 70, "x" * 69 + "y"})
+    block, counted = nearest.Block(names), []
+    plain = nearest.Block.common
+    monkeypatch.setattr(nearest.Block, "common", staticmethod(lambda encoded, query, held, at: counted.append(len(at)) or plain(encoded, query, held, at)))
+    for cutoff in (60.0, 92.0):
+        for q in names[::5]:
+            want = sorted((round(weighted_ratio(q, t), 6) for t in names), reverse=True)[:3]
+            assert [s for s, _ in block.best(q, 3, cutoff)][:3] == [s for s in want if s >= cutoff]
+            assert all(round(weighted_ratio(q, names[i]), 6) == s for s, i in block.best(q, 3, cutoff))
+    counted.clear()
+    block.best("brelebo mitos", 1, 92.0)
+    assert max(counted) < len(names) / 2
+
+
+def test_resolved_rows_are_the_same_without_ranks_for_review(spark):
+    master = spark.createDataFrame([(1, "e1", "lupo sol verde", "ES"), (2, "e2", "lupo sol verda", "ES"), (3, "e3", "zabro", "ES")], "row_id long, entity_id string, entity_name string, country string").withColumn("entity_name_norm", F.col("entity_name"))
+    roster = spark.createDataFrame([(1, "Lupo sol verde", "ES"), (2, "lupo mitos pelir", "ES"), (3, None, "ES"), (4, "zabra", "ES")], "row_id long, raw_brand_name string, country_hint string").withColumn("website_hint", F.lit(""))
+    whole, matched = ({r.r_key: (r.entity_id, r.needs_review) for r in resolve.resolve_by_blocks(roster, master, **o).collect()} for o in ({}, {"k": 1, "least": 92.0}))
+    assert whole == matched and matched[1] == ("e1", False) and sum(not review for _, review in matched.values()) == 1
