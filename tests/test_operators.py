@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from entwine.functions.similarity import weighted_ratio
+from entwine.functions.similarity import partial_ratio, weighted_ratio
 from entwine.operators import extract, matching, nearest, packed, parse, registers, resolve
 from entwine.sources import files
 
@@ -146,7 +146,7 @@ def test_resolvers_against_brute_force(spark):
     import random
     import re
 
-    from entwine.functions.similarity import weighted_ratio
+    from entwine.functions.similarity import partial_ratio, weighted_ratio
     from entwine.functions.values import STOP_TOKENS
 
     rng = random.Random(7)
@@ -250,3 +250,18 @@ def test_resolved_rows_are_the_same_without_ranks_for_review(spark):
     roster = spark.createDataFrame([(1, "Lupo sol verde", "ES"), (2, "lupo mitos pelir", "ES"), (3, None, "ES"), (4, "zabra", "ES")], "row_id long, raw_brand_name string, country_hint string").withColumn("website_hint", F.lit(""))
     whole, matched = ({r.r_key: (r.entity_id, r.needs_review) for r in resolve.resolve_by_blocks(roster, master, **o).collect()} for o in ({}, {"k": 1, "least": 92.0}))
     assert whole == matched and matched[1] == ("e1", False) and sum(not review for _, review in matched.values()) == 1
+
+
+def test_best_of_a_land_without_scoring_each_name(monkeypatch):
+    rng = random.Random(5)
+    words = ["lupo", "sol", "sal", "fundacion", "de", "brelebo", "mitos", "mtios", "a", "zabro", "pelir", "ñu"]
+    names = sorted({" ".join(rng.choices(words, k=rng.randint(1, 5))) for _ in range(300)} | {"x" * 70, "x" * 69 + "y", "lupo  sol"})
+    first = rng.sample(range(1000), len(names))
+    block, called = nearest.Block(names, first), []
+    for q in [*names[::7], "lupo  sal", "zzz", "x" * 65, "mitos brel"]:
+        assert nearest.partial_ratios(q, names).tolist() == pytest.approx([partial_ratio(q, t) for t in names])
+        ranked = sorted((-round(weighted_ratio(q, t), 6), first[i], i) for i, t in enumerate(names))
+        assert block.best(q, 5, 0.0) == [(-s, i) for s, _, i in ranked[:5]]
+    monkeypatch.setattr(nearest, "weighted_ratio", lambda a, b: called.append(b) or weighted_ratio(a, b))
+    block.best("fundacion brelebu", 5, 0.0)
+    assert len(called) < len(names) / 10
