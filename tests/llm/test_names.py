@@ -236,3 +236,20 @@ def test_hamming_index_finds_all_that_the_segment_index_finds(spark):
     found = [{tuple(sorted((r.a, r.b))) for r in variants.close_pairs(forms, ["ES"], keyed).collect()} for keyed in (variants.segment_keys, linkage.hamming_keys)]
     want = {(a, b) for a, b in combinations(sorted(text), 2) if lev(text[a], text[b]) <= edits(min(len(text[a]), len(text[b])))}
     assert len(want) > 200 and found[0] == want and found[1] == want
+
+
+def test_letters_tell_candidates_apart_before_edits_are_counted(spark):
+    rng = random.Random(11)
+    cores = ["".join(rng.choices("abdelorsuñx", k=rng.randint(6, 14))) for _ in range(60)]
+    cores += [c[:i] + rng.choice(["", "z", "qv"]) + c[i + 1 :] for c in cores for i in (0, len(c) // 2)]
+    forms = spark.createDataFrame([(i, c, None, None, "ES") for i, c in enumerate(cores)], "id long, core string, initial string, given string, land string").withColumn("lands", F.lit(""))
+    pairs = variants.close_pairs(forms, ["ES"])
+    assert "bit_count" in pairs._jdf.queryExecution().executedPlan().toString()
+    keys = variants.segment_keys(forms.withColumnRenamed("land", "in"), "index").select("id", "sig").distinct()
+    sig = {r.id: r.sig for r in keys.collect()}
+    near = {(min(r.a, r.b), max(r.a, r.b)) for r in pairs.collect()}
+    allowed = lambda a, b: (n := min(len(a), len(b))) and (2 if n >= 9 else 1 if n >= 5 else 0)
+    texts = forms.select(F.col("id").alias("a"), F.col("core").alias("s")).crossJoin(forms.select(F.col("id").alias("b"), F.col("core").alias("t"))).where("a < b")
+    want = {(r.a, r.b): r.d for r in texts.withColumn("d", F.levenshtein("s", "t")).where("d <= 2").collect() if r.d <= allowed(r.s, r.t)}
+    assert near == set(want) and len(want) > 50
+    assert all((sig[a] ^ sig[b]).bit_count() <= 2 * d for (a, b), d in want.items())
