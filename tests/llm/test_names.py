@@ -253,3 +253,19 @@ def test_letters_tell_candidates_apart_before_edits_are_counted(spark):
     want = {(r.a, r.b): r.d for r in texts.withColumn("d", F.levenshtein("s", "t")).where("d <= 2").collect() if r.d <= allowed(r.s, r.t)}
     assert near == set(want) and len(want) > 50
     assert all((sig[a] ^ sig[b]).bit_count() <= 2 * d for (a, b), d in want.items())
+
+
+def test_rare_letters_keep_candidates_few_and_lose_none(spark):
+    rng = random.Random(12)
+    letters = "aaaeeeiioorrnnsttlcudpmgbvhfzñя"
+    words = ["".join(rng.choices(letters, k=rng.randint(3, 13))) for _ in range(160)]
+    words = list(dict.fromkeys(words + [w[:at] + rng.choice(["", "x", "ñe", w[at] * 2]) + w[at + 1 :] for w in words for at in (0, len(w) - 1, len(w) // 2)] + ["a" * n for n in (4, 5, 8, 9, 10, 11)]))
+    forms = spark.createDataFrame([(i, w, None, None, "ES") for i, w in enumerate(words)], "id long, core string, initial string, given string, land string").withColumn("lands", F.lit(""))
+    probe, index = (linkage.hamming_keys(forms.withColumnRenamed("land", "in"), side).select("id", "h", "sig") for side in ("probe", "index"))
+    met = probe.join(index.withColumnsRenamed({"id": "b", "sig": "sig_b"}), "h").where("id < b")
+    shared = {(r.id, r.b): r.apart for r in met.selectExpr("id", "b", "bit_count(sig ^ sig_b) AS apart").distinct().collect()}
+    edits = lambda n: 2 if n >= 9 else 1 if n >= 5 else 0
+    near = {(a, b) for a, b in combinations(range(len(words)), 2) if abs(len(words[a]) - len(words[b])) <= 2 and lev(words[a], words[b]) <= edits(min(len(words[a]), len(words[b])))}
+    assert len(near) > 300 and near <= set(shared) and all(shared[x] <= linkage.RADIUS["full"] for x in near)
+    assert {tuple(sorted((r.a, r.b))) for r in variants.close_pairs(forms, ["ES"], linkage.hamming_keys).collect()} == near
+    assert met.count() < 20 * len(words)  # by triples of seven chunks a word met 81 others
