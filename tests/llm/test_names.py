@@ -269,3 +269,20 @@ def test_rare_letters_keep_candidates_few_and_lose_none(spark):
     assert len(near) > 300 and near <= set(shared) and all(shared[x] <= linkage.RADIUS["full"] for x in near)
     assert {tuple(sorted((r.a, r.b))) for r in variants.close_pairs(forms, ["ES"], linkage.hamming_keys).collect()} == near
     assert met.count() < 20 * len(words)  # by triples of seven chunks a word met 81 others
+
+
+def test_each_letter_is_folded_once_and_as_in_the_whole(monkeypatch):
+    import unicodedata
+
+    from entwine.llm import words
+
+    whole = lambda t: "".join(c for c in unicodedata.normalize("NFKD", t.translate(words.PLAIN).lower()) if not unicodedata.combining(c))
+    odd = "ΣĐÐÞẞŁøæß�İıẢ́가™ªº①K"
+    rng = random.Random(13)
+    texts = ["".join(rng.choices(odd + "aeo USz.-", k=rng.randint(1, 12))) for _ in range(3000)] + [f"{chr(c)}a{chr(c)}B" for c in range(0x3000)]
+    assert [words.plain(t) for t in texts] == [whole(t) for t in texts]
+    calls = []
+    monkeypatch.setattr(words, "unicodedata", type("Counted", (), {"normalize": staticmethod(lambda form, t: calls.append(t) or unicodedata.normalize(form, t)), "combining": staticmethod(unicodedata.combining)}))
+    assert [words.plain(f"Fundación Élan {i}") for i in range(500)] == [f"fundacion elan {i}" for i in range(500)]
+    assert len(calls) <= 2  # before, once for each name
+    assert names.parse_name("Lav�nd�r. F. Gurela")[:2] == (["lav�nd�r", "gurela"], "f")
