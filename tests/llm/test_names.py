@@ -286,3 +286,53 @@ def test_each_letter_is_folded_once_and_as_in_the_whole(monkeypatch):
     assert [words.plain(f"Fundación Élan {i}") for i in range(500)] == [f"fundacion elan {i}" for i in range(500)]
     assert len(calls) <= 2  # before, once for each name
     assert names.parse_name("Lav�nd�r. F. Gurela")[:2] == (["lav�nd�r", "gurela"], "f")
+
+
+def test_initials_stand_in_the_keys_of_abbreviated_names(spark):
+    rows = [(0, "lorenza", "f", None, "ES"), (1, "lorenza fabrol", None, None, "ES"), (2, "lorenza gibrol", None, None, "ES"), (3, "lorensa fudel", None, None, "ES"), (4, "lorenza", None, "maria", "ES")]
+    forms = spark.createDataFrame(rows, "id long, core string, initial string, given string, land string").withColumn("lands", F.lit(""))
+    probe, index = (variants.segment_keys(forms.withColumnRenamed("land", "in"), side).where("kind = 'short'").select("id", "h") for side in ("probe", "index"))
+    met = {(r.id, r.b) for r in probe.join(index.withColumnRenamed("id", "b"), "h").where("id <> b").collect()}
+    assert met == {(0, 1), (0, 3)}  # before, 2 met 0, too, by the words alone
+    assert {(r.a, r.b) for r in variants.close_pairs(forms, ["ES"]).where("kind = 's'").collect()} == {(0, 1), (0, 3)}
+
+
+def test_either_side_finds_a_name_whose_blank_moved(spark):
+    cores = ["gebefla mufla", "muflare cefla"]  # alike as "mufla gebefla", an order that only the index holds
+    for ids in ((0, 1), (1, 0)):
+        forms = spark.createDataFrame([(i, c, None, None, "FR") for i, c in zip(ids, cores)], "id long, core string, initial string, given string, land string").withColumn("lands", F.lit(""))
+        assert {tuple(sorted((r.a, r.b))) for r in variants.close_pairs(forms, ["FR"]).collect()} == {(0, 1)}  # before, only where the first had the greater id
+
+
+def test_hashes_of_one_pass_and_near_words_by_their_edges():
+    rng = random.Random(14)
+    texts = [None, "", ".", "S. L. U.", "ß a b"] + ["".join(rng.choices("aB c.'-ñé1 ", k=rng.randint(0, 9))) for _ in range(2000)]
+    for found, way in zip(copies.hashes_of(texts, list(copies.KEYS.values()), copies.BASES[:1]), copies.KEYS.values()):
+        assert (found[:, 0] == copies.hashes(texts, *way)[:, 0]).all() and len(set(found[:, 0].tolist())) > 500
+    lands, _, _, near, _ = names.lexicon()
+
+    def every_letter_left_out(token):
+        if len(token) < 7 or token in near:
+            return near.get(token) if len(token) >= 5 else None
+        for short in (token[:i] + token[i + 1 :] for i in range(len(token))):
+            if short in lands and len(short) >= 6:
+                return short
+            if len(near.get(short) or "") == len(token):
+                return near[short]
+        return None
+
+    tokens = [noisy(rng, rng.choice(sorted(lands)), rng.randint(0, 2)) for _ in range(5000)]
+    assert [names.near_word(t) for t in tokens] == [every_letter_left_out(t) for t in tokens]
+
+
+def test_durable_leaves_no_shuffle_files(spark):
+    from glob import glob
+
+    from entwine.plans import durable as plans
+
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    files = lambda: {f for d in folders for f in glob(f"{d}/*/shuffle_*")}
+    before, said = files(), spark.conf.get(plans.CLEANUP)
+    kept = plans.durable(spark.range(5000).selectExpr("id % 1000 AS k").groupBy("k").count())
+    assert files() <= before and spark.conf.get(plans.CLEANUP) == said
+    assert kept.where("count = 5").count() == 1000
