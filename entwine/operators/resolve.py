@@ -50,13 +50,14 @@ def group(kind: str, *parts: str) -> Column:
     return F.concat_ws("|", F.lit(kind), *parts)
 
 
-def resolve_by_blocks(roster: DataFrame, master: DataFrame, name: str = "entity_name_norm", threshold: float = 92.0, prefix: int = 4, widen: int = 50, most: int = 200_000, token_k: int = 2, k: int = 5, least: float = 0.0) -> DataFrame:
+def resolve_by_blocks(roster: DataFrame, master: DataFrame, name: str = "entity_name_norm", threshold: float = 92.0, prefix: int = 4, widen: int = 50, most: int | None = None, token_k: int = 2, k: int = 5, least: float = 0.0) -> DataFrame:
     """One row per roster row: r_key, entity_id, match_method, match_score, candidate_count, needs_review, best_score, top_candidates.
 
     Candidates share country and first letters. Where these are fewer than `widen`, rows of the country that contain
-    the name's first chosen token come in, too; of `most` or more of them only those with the next token stay, and so
-    on; a name without tokens meets its whole country. Rows with more than `most` candidates go to review as
-    too_many_candidates. Blank countries and names give missing_country_or_name. Of equal scores the first row wins.
+    the name's first chosen token come in, too, however many; a name without tokens meets its whole country. Only who
+    asks for it by `most` leaves candidates out: of `most` or more with a token only those with the next token stay,
+    and so on, and rows with more than `most` candidates go to review as too_many_candidates. Blank countries and
+    names give missing_country_or_name. Of equal scores the first row wins.
     With `least` names under that score are no candidates for the list: enough for who needs matches and no review.
     """
     left, right = durable(roster_side(roster)), master_side(master, name)
@@ -65,13 +66,13 @@ def resolve_by_blocks(roster: DataFrame, master: DataFrame, name: str = "entity_
     lands = right.groupBy("land").agg(F.count("*").alias("in_land"))
     blocks = right.where("block <> ''").groupBy("land", "block").agg(F.count("*").alias("in_block"))
     asked = fit.select("land", "normal", "block", "tokens").distinct().join(lands, "land").join(blocks, ["land", "block"], "left").withColumn("in_block", F.coalesce("in_block", F.lit(0)))
-    few = asked.where(F.col("in_block") < widen)
+    few, depths = asked.where(F.col("in_block") < widen), 1 if most is None else token_k
     # rows of the country that contain the tokens, one narrowing after the other
     names = right.where("m_normal <> ''").groupBy("land", "m_normal").agg(F.count("*").alias("rows"))
-    reach = few.where(F.size("tokens") > 0).select("land", F.explode("tokens").alias("token")).distinct()
+    reach = few.where(F.size("tokens") > 0).select("land", F.explode(F.slice("tokens", 1, depths)).alias("token")).distinct()
     holding = durable(matching.containing(names, "m_normal", reach, "token", ["land"]))
     open_to, held, narrowed = few.where(F.size("tokens") > 0).select("land", "normal", "tokens"), None, None
-    for depth in range(1, token_k + 1):
+    for depth in range(1, depths + 1):
         wanted = open_to.where(F.size("tokens") >= depth).select("land", F.slice("tokens", 1, depth).alias("used")).distinct()
         step = wanted.withColumn("token", F.element_at("used", depth)).join(holding, ["land", "token"]).drop("token")
         if held is not None:
@@ -79,7 +80,7 @@ def resolve_by_blocks(roster: DataFrame, master: DataFrame, name: str = "entity_
         held = durable(step)
         sized = held.groupBy("land", "used").agg(F.sum("rows").alias("in_tokens"))
         here = open_to.where(F.size("tokens") >= depth).withColumn("used", F.slice("tokens", 1, depth)).join(sized, ["land", "used"], "left").withColumn("in_tokens", F.coalesce("in_tokens", F.lit(0)))
-        enough = (F.col("in_tokens") < most) | (F.size("tokens") == depth)
+        enough = F.lit(True) if most is None else (F.col("in_tokens") < most) | (F.size("tokens") == depth)
         chosen = (here.where(enough).select("land", "normal", "used", "in_tokens"), held)
         narrowed = [chosen] if narrowed is None else [*narrowed, chosen]
         open_to = here.where(~enough).select("land", "normal", "tokens")
@@ -97,7 +98,8 @@ def resolve_by_blocks(roster: DataFrame, master: DataFrame, name: str = "entity_
     twice = twice.unionByName(few.where((F.size("tokens") == 0) & (F.col("in_block") > 0)).select("land", "normal", F.col("in_block").alias("twice")))
     counted = asked.join(wide.select("land", "normal", "in_tokens"), ["land", "normal"], "left").join(twice, ["land", "normal"], "left")
     counted = durable(counted.select("land", "normal", "block", (F.col("in_block") + F.coalesce("in_tokens", F.lit(0)) - F.coalesce("twice", F.lit(0))).alias("candidate_count")))
-    fair = counted.where(F.col("candidate_count").between(1, most))
+    many = F.lit(False) if most is None else F.col("candidate_count") > most
+    fair = counted.where((F.col("candidate_count") >= 1) & ~many)
     in_block = fair.where("block <> ''").select("land", "normal", group("p", "land", "block").alias("group"))
     queries = in_block.unionByName(wide.select("land", "normal", "group").join(fair.select("land", "normal"), ["land", "normal"], "left_semi"))
     first = right.select("land", "block", "m_normal", F.col("order").alias("first"))
@@ -109,7 +111,7 @@ def resolve_by_blocks(roster: DataFrame, master: DataFrame, name: str = "entity_
     count, best = F.col("candidate_count"), F.col("candidates")[0]
     method = (
         F.when((F.col("land") == "") | (F.col("normal") == ""), "missing_country_or_name").when(F.col("in_land").isNull(), "no_master_for_country").when(count == 0, "no_candidates")
-        .when(count > most, "too_many_candidates").when(best.isNull(), "no_match").when(best.score >= threshold, "fuzzy_blocked").otherwise("below_threshold")
+        .when(many, "too_many_candidates").when(best.isNull(), "no_match").when(best.score >= threshold, "fuzzy_blocked").otherwise("below_threshold")
     )
     hit = F.coalesce(best.score >= threshold, F.lit(False))
     return out.select("r_key", F.when(hit, best.id).alias("entity_id"), method.alias("match_method"), best.score.alias("match_score"), count.cast("double").alias("candidate_count"), (~hit).alias("needs_review"), F.when(method == "below_threshold", best.score).alias("best_score"), F.when(method == "below_threshold", rendered(F.col("candidates"))).alias("top_candidates"))

@@ -252,6 +252,17 @@ def test_resolved_rows_are_the_same_without_ranks_for_review(spark):
     assert whole == matched and matched[1] == ("e1", False) and sum(not review for _, review in matched.values()) == 1
 
 
+def test_many_candidates_are_all_met(spark):
+    many = spark.range(200_001).selectExpr("id AS row_id", "concat('e', id) AS entity_id", "'lupobrelo zabro' AS entity_name_norm")
+    one = spark.sql("SELECT 300000L AS row_id, 'f' AS entity_id, 'lupobrelo pelirzabrosit mitosbrelo sol' AS entity_name_norm")
+    master = many.unionByName(one).withColumn("entity_name", F.col("entity_name_norm")).withColumn("country", F.lit("ES"))
+    # the first by its letters, the second by a token, the third by the longer of two tokens, whose other is mistyped; the last meets the country
+    roster = spark.createDataFrame([(1, "Lupobrelo zabro"), (2, "zabro lupobrelo"), (3, "sol pelirzabrosit mitosbrela lupobrelo"), (4, "sol")], "row_id long, raw_brand_name string").withColumn("country_hint", F.lit("ES")).withColumn("website_hint", F.lit(""))
+    got = {x.r_key: x for x in resolve.resolve_by_blocks(roster, master, k=1).collect()}
+    assert [(got[i].entity_id, got[i].match_method, got[i].candidate_count) for i in (1, 2)] == [("e0", "fuzzy_blocked", 200_002.0)] * 2
+    assert got[3].entity_id == "f" and got[4].match_method == "below_threshold" and got[4].candidate_count == 200_002.0
+
+
 def test_best_of_a_land_without_scoring_each_name(monkeypatch):
     rng = random.Random(5)
     words = ["lupo", "sol", "sal", "fundacion", "de", "brelebo", "mitos", "mtios", "a", "zabro", "pelir", "ñu"]
