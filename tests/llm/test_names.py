@@ -255,6 +255,21 @@ def test_letters_tell_candidates_apart_before_edits_are_counted(spark):
     assert all((sig[a] ^ sig[b]).bit_count() <= 2 * d for (a, b), d in want.items())
 
 
+def test_lengths_tell_candidates_apart_and_lose_none(spark):
+    rng = random.Random(14)
+    words = ["".join(rng.choices("abdelorsu", k=n)) for n in range(5, 15) for _ in range(6)]
+    words = list(dict.fromkeys(words + [noisy(rng, w, k) for w in words for k in (1, 2, 2)]))
+    forms = spark.createDataFrame([(i, w[:-1], w[-1], None, "ES") for i, w in enumerate(words)], "id long, core string, initial string, given string, land string").withColumn("lands", F.lit(""))
+    fits = lambda a, b, n: lev(a, b) <= (n >= 6) or n >= 8 and lev(a, b) == 2 and sorted(a) == sorted(b)
+    want = {(a, b) for a, b in combinations(range(len(words)), 2) if words[a][-1] == words[b][-1] and fits(words[a], words[b], min(len(words[a]), len(words[b])))}
+    for keyed in (variants.segment_keys, linkage.hamming_keys):
+        near = variants.close_pairs(forms, ["ES"], keyed)
+        assert "length(s" in near._jdf.queryExecution().optimizedPlan().toString()  # before, only the letters told candidates apart
+        assert {(min(r.a, r.b), max(r.a, r.b)) for r in near.where("kind = 's'").collect()} == want and len(want) > 20
+    probe = variants.segment_keys(forms.where("length(core) = 12").withColumnRenamed("land", "in"), "probe").groupBy("id").agg(F.count("*").alias("n"))
+    assert {r.n for r in probe.collect()} == {13}  # before 16, with three for strings two letters shorter, which are no pair
+
+
 def test_rare_letters_keep_candidates_few_and_lose_none(spark):
     rng = random.Random(12)
     letters = "aaaeeeiioorrnnsttlcudpmgbvhfzñя"
